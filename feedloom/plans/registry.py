@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.plans import depth, quotes
+from feedloom.plans import depth, quotes, runs
 from feedloom.session import prepare
 
-_MODULES = (quotes, depth)
+_MODULES = (quotes, depth, runs)
 
 
 def _prepared(build: Callable[[SparkSession, str], DataFrame]):
