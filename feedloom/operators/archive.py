@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.functions import clock, digest, keys
+from feedloom.session import shared_root
 from feedloom.sources import lake
 
 
@@ -141,45 +142,53 @@ def table_digest(rows: DataFrame, key: str = "trading_date") -> DataFrame:
     return rows.groupBy(key).agg(*digest.row_digest(columns))
 
 
-def archive_date(
-    spark: SparkSession, root: str, stream: str, date: str, destination: str
+def _date_files(spark: SparkSession, root: str, stream: str) -> DataFrame:
+    """Fingerprint per stored date of a stream, as it is now."""
+    files = lake.file_inventory(spark, lake.stream_path(root, stream), glob="*.parquet")
+    date = F.regexp_extract("relative_path", "(?:^|/)trading_date=([^/]+)/", 1)
+    return tree_fingerprint(files.withColumn("trading_date", date))
+
+
+def archive_dates(
+    spark: SparkSession, root: str, stream: str, destination: str, dates: DataFrame
 ) -> DataFrame:
-    """Rewrite one finished date of a stream into few files sorted by ``event_id``.
+    """Rewrite finished dates of a stream into few files sorted by ``event_id``, and verify them.
 
-    Refuses a malformed or empty date, and fails if the date's files changed meanwhile. Returns
-    the archive record: row totals of source and copy, and whether they agree.
+    All dates go through one job, range-partitioned by date and id, so a heavy date is spread
+    over tasks. Returns one record per asked date; a date fails on its own (malformed, empty,
+    changed while being archived, or copied wrongly) and the others still proceed.
     """
-    named = spark.range(1).select(clock.is_calendar_date(F.lit(date.replace("-", ""))).alias("ok"))
-    if not named.first()["ok"]:
-        raise ValueError(f"invalid trading date: {date!r}")
-    folder = f"{lake.stream_path(root, stream)}/trading_date={date}"
-    inventory = lake.file_inventory(spark, folder, glob="*.parquet").withColumn(
-        "trading_date", F.lit(date)
-    )
-    before = tree_fingerprint(inventory).first()
-    if before is None:
-        raise RuntimeError(f"no files to archive for {date}")
-    rows = lake.scan_parts(spark, root, stream).where(F.col("trading_date") == date)
-    target = f"{lake.stream_path(destination, stream)}/trading_date={date}"
+    shared_root(spark)
+    named = F.col("trading_date")
+    asked = dates.select("trading_date").distinct()
+    valid = asked.where(clock.is_calendar_date(F.replace(named, F.lit("-"), F.lit(""))))
+    # Fixed before anything is copied: this is what the state afterwards is held against.
+    before = _date_files(spark, root, stream).checkpoint()
+    rows = lake.scan_parts(spark, root, stream).join(valid, "trading_date", "left_semi")
     (
-        rows.drop("trading_date")
-        .repartitionByRange("run_id", "event_id")
-        .sortWithinPartitions("run_id", "event_id")
+        rows.repartitionByRange("trading_date", "run_id", "event_id")
+        .sortWithinPartitions("trading_date", "run_id", "event_id")
         .write.mode("errorifexists")
-        .parquet(target)
-    )
-    again = lake.file_inventory(spark, folder, glob="*.parquet").withColumn(
-        "trading_date", F.lit(date)
-    )
-    after = tree_fingerprint(again).first()
-    if after is None or after["source_fingerprint"] != before["source_fingerprint"]:
-        raise RuntimeError(f"date {date} changed while being archived")
-    copied = lake.scan_parts(spark, destination, stream).where(F.col("trading_date") == date)
-    return compare_tables(table_digest(rows), table_digest(copied)).withColumns(
-        {
-            "source_fingerprint": F.lit(before["source_fingerprint"]),
-            "source_files": F.lit(before["file_count"]),
-        }
+        .partitionBy("trading_date")
+        .parquet(lake.stream_path(destination, stream))
+    )
+    after = _date_files(spark, root, stream).select(
+        "trading_date", F.col("source_fingerprint").alias("_after")
+    )
+    copied = lake.scan_parts(spark, destination, stream)
+    compared = compare_tables(table_digest(rows), table_digest(copied)).withColumnRenamed(
+        "upload_status", "_compared"
+    )
+    changed = ~F.col("source_fingerprint").eqNullSafe(F.col("_after"))
+    status = F.when(F.col("source_fingerprint").isNull() | changed, "archive_failed").otherwise(
+        F.coalesce("_compared", F.lit("archive_failed"))
+    )
+    return (
+        asked.join(before, "trading_date", "left")
+        .join(after, "trading_date", "left")
+        .join(compared, "trading_date", "left")
+        .withColumn("upload_status", status)
+        .drop("_after", "_compared")
     )
 
 
