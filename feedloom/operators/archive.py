@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.functions import clock, digest, keys
+from feedloom.operators.joins import sized_broadcast
 from feedloom.session import shared_root
 from feedloom.sources import lake
 
@@ -164,7 +165,9 @@ def archive_dates(
     valid = asked.where(clock.is_calendar_date(F.replace(named, F.lit("-"), F.lit(""))))
     # Fixed before anything is copied: this is what the state afterwards is held against.
     before = _date_files(spark, root, stream).checkpoint()
-    rows = lake.scan_parts(spark, root, stream).join(valid, "trading_date", "left_semi")
+    rows = lake.scan_parts(spark, root, stream).join(
+        sized_broadcast(valid), "trading_date", "left_semi"
+    )
     (
         rows.repartitionByRange("trading_date", "run_id", "event_id")
         .sortWithinPartitions("trading_date", "run_id", "event_id")

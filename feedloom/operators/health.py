@@ -111,6 +111,9 @@ def silences(
                 F.col("ended_at_ns").alias("silent_until_ns"), F.lit(True).alias("open_ended"),
             )
         )
+    # A span shorter than the timeout cannot count; dropping those leaves little to join.
+    long_enough = F.col("silent_until_ns") - F.col("silent_from_ns") >= timeout_seconds * _NS
+    spans = spans.where(F.coalesce(long_enough, F.lit(True)))
     stale_at = stale_moment(F.col("silent_from_ns"), F.col("ready_at_ns"), timeout_seconds)
     return (
         spans.join(window.drop("ended_at_ns"), "run_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.joins import sized_broadcast
 from feedloom.operators.scan import CHUNK_ROWS, Running, running
 
 
@@ -25,7 +26,7 @@ def in_receive_order(events: DataFrame, runs: DataFrame | None = None) -> DataFr
         return events.orderBy("event_id")
     started = runs.select("run_id", F.col("started_at_unix_ns").alias("_started"))
     return (
-        events.join(started, "run_id", "left")
+        events.join(sized_broadcast(started), "run_id", "left")
         .orderBy("_started", "run_id", "event_id")
         .drop("_started")
     )
@@ -34,13 +35,13 @@ def in_receive_order(events: DataFrame, runs: DataFrame | None = None) -> DataFr
 def trusted(events: DataFrame, runs: DataFrame) -> DataFrame:
     """Rows of runs that ended complete or degraded."""
     good = runs.where(F.col("status").isin("complete", "degraded")).select("run_id")
-    return events.join(good, "run_id", "left_semi")
+    return events.join(sized_broadcast(good), "run_id", "left_semi")
 
 
 def quarantined(events: DataFrame, runs: DataFrame) -> DataFrame:
     """Rows of failed runs and of runs without a completion marker."""
     good = runs.where(F.col("status").isin("complete", "degraded")).select("run_id")
-    return events.join(good, "run_id", "left_anti")
+    return events.join(sized_broadcast(good), "run_id", "left_anti")
 
 
 def best_level(levels: Column) -> Column:

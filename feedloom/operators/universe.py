@@ -1,7 +1,7 @@
 """The configured symbols: parsing, connection groups, membership and what never arrived.
 
-Joins against the universe carry no broadcast hint: Catalyst and AQE broadcast it when its
-measured size allows and otherwise fall back to a (skew-split) sort-merge join.
+Lookups broadcast the universe when it is counted to be small, as it is by design; a larger one
+gets a sort-merge join.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.operators.joins import sized_broadcast
+
 # Symbols per depth connection and connections per run.
 SYMBOLS_PER_CONNECTION = 5
 MAX_CONNECTIONS = 3
@@ -110,13 +112,13 @@ def with_membership(
     for key in keys:
         match = match & (F.col(key) == F.col(f"_u_{key}"))
     dropped = ["_u_symbol", *[f"_u_{key}" for key in keys]]
-    return rows.join(lookup, match, "left").drop(*dropped)
+    return rows.join(sized_broadcast(lookup), match, "left").drop(*dropped)
 
 
 def members(rows: DataFrame, configured: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Rows of configured symbols only."""
     return rows.join(
-        configured.select(F.col("symbol_upper").alias("_u_symbol")),
+        sized_broadcast(configured.select(F.col("symbol_upper").alias("_u_symbol"))),
         F.upper(F.col(symbol)) == F.col("_u_symbol"),
         "left_semi",
     )

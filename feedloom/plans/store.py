@@ -17,7 +17,6 @@ from feedloom.session import shared_dir
 from feedloom.sources import lake, messages
 from feedloom.streaming import ingest, sequence as live_sequence, sinks
 
-_ALL_ROWS = 1 << 40
 _LOCAL_DAY = "make_timestamp(received_at_unix_ns // 1000) + INTERVAL 330 MINUTE"
 
 
@@ -141,39 +140,54 @@ def scan_parts(spark, sf):
     )
 
 
+def _dates(name: str):
+    return F.regexp_extract(name, "trading_date=([^/]+)/", 1).alias("trading_date")
+
+
 def part_stats(spark, sf):
-    root = _stored_quotes(spark, sf, rows_per_file=_ALL_ROWS, chunk_rows=_ALL_ROWS)
+    """Statistics and digests of all parts, summed up per date."""
+    root = _stored_quotes(spark, sf)
     parts = lake.part_stats(lake.scan_parts(spark, root, schemas.SYMBOL_UPDATE))
     sums = lake.file_digests(spark, lake.stream_path(root, schemas.SYMBOL_UPDATE),
                              glob="*.parquet")
-    return parts.join(sums, "path").select(
-        F.regexp_extract("path", "trading_date=([^/]+)/", 1).alias("trading_date"), "source",
-        "rows", "min_event_id", "max_event_id", "min_received_at_unix_ns",
-        "max_received_at_unix_ns", (F.col("bytes") > 0).alias("has_bytes"),
-        F.length("sha256").alias("digest_chars"),
+    return parts.join(sums, "path").groupBy(_dates("path"), "source").agg(
+        F.sum("rows").alias("rows"),
+        F.min("min_event_id").alias("min_event_id"),
+        F.max("max_event_id").alias("max_event_id"),
+        F.min("min_received_at_unix_ns").alias("min_received_at_unix_ns"),
+        F.max("max_received_at_unix_ns").alias("max_received_at_unix_ns"),
+        F.min(F.col("bytes") > 0).alias("has_bytes"),
+        F.min(F.length("sha256")).alias("digest_chars"),
     )
 
 
 def file_digest(spark, sf):
-    """Digest of each stored part against a second reading of it."""
-    root = _stored_quotes(spark, sf, rows_per_file=_ALL_ROWS, chunk_rows=_ALL_ROWS)
-    path = lake.stream_path(root, schemas.SYMBOL_UPDATE)
+    """Digest of each stored part against a second reading of it, per date."""
+    path = lake.stream_path(_stored_quotes(spark, sf), schemas.SYMBOL_UPDATE)
     first = lake.file_digests(spark, path, glob="*.parquet")
     again = lake.file_digests(spark, path, glob="*.parquet").withColumnRenamed("sha256", "_again")
-    return first.join(again, "path").select(
-        F.regexp_extract("path", "trading_date=([^/]+)/", 1).alias("trading_date"),
-        (F.col("sha256") == F.col("_again")).alias("equal"),
-        F.length("sha256").alias("digest_chars"),
+    return first.join(again, "path").groupBy(_dates("path")).agg(
+        F.min(F.col("sha256") == F.col("_again")).alias("equal"),
+        F.min(F.length("sha256")).alias("digest_chars"),
     )
 
 
 def file_inventory(spark, sf):
-    root = _stored_quotes(spark, sf, rows_per_file=_ALL_ROWS, chunk_rows=_ALL_ROWS)
-    files = lake.file_inventory(spark, root, glob="*.parquet")
-    return files.groupBy(
-        F.regexp_extract("relative_path", "^([^/]+)/", 1).alias("directory"),
-        F.regexp_extract("relative_path", "trading_date=([^/]+)/", 1).alias("trading_date"),
-    ).agg(F.count(F.lit(1)).alias("files"), F.min(F.col("size_bytes") > 0).alias("has_bytes"))
+    """Files listed per date against the files a scan reads rows from."""
+    root = _stored_quotes(spark, sf)
+    listed = lake.file_inventory(spark, root, glob="*.parquet")
+    read = lake.part_stats(lake.scan_parts(spark, root, schemas.SYMBOL_UPDATE))
+    return (
+        listed.join(read.select("path", "rows", "bytes"), "path", "left")
+        .groupBy(
+            F.regexp_extract("relative_path", "^([^/]+)/", 1).alias("directory"),
+            _dates("relative_path"),
+        )
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.min(F.col("size_bytes").eqNullSafe(F.col("bytes"))).alias("sizes_agree"),
+        )
+    )
 
 
 def part_latest(spark, sf):
@@ -185,10 +199,11 @@ def part_latest(spark, sf):
 
 
 def written_counts(spark, sf):
-    root = _stored_quotes(spark, sf, rows_per_file=_ALL_ROWS, chunk_rows=_ALL_ROWS)
+    root = _stored_quotes(spark, sf)
     parts = lake.part_stats(lake.scan_parts(spark, root, schemas.SYMBOL_UPDATE))
     return parts.groupBy("source").agg(
-        F.sum("rows").alias("rows_written"), F.count(F.lit(1)).alias("files_written")
+        F.sum("rows").alias("rows_written"),
+        (F.count(F.lit(1)) >= F.count_distinct(_dates("path"))).alias("a_file_per_date"),
     )
 
 
@@ -392,15 +407,15 @@ FROM {_DATED} GROUP BY 1"""),
     "file_digest": (file_digest, QUOTE_VIEW + f"""
 SELECT DISTINCT trading_date, true AS equal, 64 AS digest_chars FROM {_DATED}"""),
     "file_inventory": (file_inventory, QUOTE_VIEW + f"""
-SELECT DISTINCT 'symbolupdate' AS directory, trading_date, 1 AS files, true AS has_bytes
-FROM {_DATED}"""),
+SELECT 'symbolupdate' AS directory, trading_date, count(*) AS rows, true AS sizes_agree
+FROM {_DATED} GROUP BY ALL"""),
     "part_latest": (part_latest, QUOTE_VIEW + f"""
 SELECT 'symbol_update' AS source, trading_date, strftime({_LOCAL_DAY}, '%H') AS receipt_hour,
        max_by(strftime({_LOCAL_DAY}, '%Y-%m-%dT%H:%M:%S.%f') || '+05:30', received_at_unix_ns)
          AS latest_received_at_local FROM {_DATED} GROUP BY ALL"""),
     "written_counts": (written_counts, QUOTE_VIEW + f"""
 SELECT 'symbol_update' AS source, count(*) AS rows_written,
-       count(DISTINCT trading_date) AS files_written FROM {_DATED}"""),
+       true AS a_file_per_date FROM {_DATED}"""),
     "scan_manifests": (scan_manifests, with_sql(TICKS_SQL, CONTROL_SQL, feeds.SEEN_SQL) + """
 , per_run AS (
   SELECT run_id, string_agg(DISTINCT component || '_socket_closed', ','
