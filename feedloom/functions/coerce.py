@@ -26,9 +26,10 @@ def _exact(text: Column) -> Column:
 def lenient_long(text: Column) -> Column:
     """Whole number, truncated towards zero ("12.7" is 12, "1e3" is 1000), or null.
 
-    Goes through decimal: a direct cast refuses fractions and a double loses digits past 2**53.
+    Plain integers are cast directly; the rest goes through decimal, because the direct cast
+    refuses fractions and a double loses digits past 2**53.
     """
-    return _exact(text).try_cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), _exact(text).try_cast("bigint"))
 
 
 def lenient_sequence(text: Column) -> Column:
@@ -42,16 +43,34 @@ def truthy(text: Column) -> Column:
     return F.coalesce(~F.lower(text).isin("", "false", "0", "0.0", "null"), F.lit(False))
 
 
+# Texts of a whole side that a plain array cast reads exactly as the element rules do.
+_PLAIN_DOUBLES = r"^[0-9.eE+ -]*$"
+_PLAIN_LONGS = r"^[0-9 -]*$"
+
+
+def _levels(values: Column, kind: str, plain: str, zero: Column, item_rule) -> Column:
+    """One array cast where every element is plainly a number; otherwise element by element.
+
+    The array cast runs as compiled code, a lambda does not, and almost every book is plain. A
+    failed element shows as null: then a search for some value cannot answer "no".
+    """
+    side = F.array_join(values, " ", "x")
+    fast = F.when(side.rlike(plain), values.try_cast(f"array<{kind}>"))
+    absent = F.lit(-1).cast(kind) if kind == "bigint" else F.lit(float("-inf"))
+    whole = F.coalesce(~F.array_contains(fast, absent), F.lit(False))
+    slow = F.transform(values, lambda item: F.coalesce(item_rule(item), zero))
+    return F.when(whole, fast).otherwise(slow)
+
+
 def double_levels(values: Column) -> Column:
     """Book levels as doubles; a missing or malformed element is 0.0."""
-    return F.transform(values, lambda item: F.coalesce(lenient_double(item), F.lit(0.0)))
+    return _levels(values, "double", _PLAIN_DOUBLES, F.lit(0.0), lenient_double)
 
 
 def long_levels(values: Column) -> Column:
     """Book levels as longs; a missing or malformed element is 0."""
-    return F.transform(
-        values, lambda item: F.coalesce(lenient_long(item), F.lit(0).cast("bigint"))
-    )
+    zero = F.lit(0).cast("bigint")
+    return _levels(values, "bigint", _PLAIN_LONGS, zero, lenient_long)
 
 
 def level_count(values: Column) -> Column:

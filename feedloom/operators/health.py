@@ -231,12 +231,12 @@ def outages(
     )
     opened = F.when(F.col("event_type") == "socket_open", F.col("received_at_unix_ns"))
     with_previous = running(
-        turns, keys, "event_id", {"_previous": Running(F.col("event_type"))},
+        turns, keys, "event_id", {"_was_open": Running(F.col("event_type") == "socket_open")},
         chunk_rows=chunk_rows,
     )
     # Only transitions matter from here: the first close after an open, and opens.
     changes = with_previous.where(
-        (F.col("event_type") == "socket_open") | (F.col("_previous") == "socket_open")
+        (F.col("event_type") == "socket_open") | F.col("_was_open")
     )
     spans = running(
         changes, keys, "event_id", {"up_at_ns": Running(opened)}, forward=False,

@@ -45,20 +45,11 @@ def manifests(
         "run_id", "component"
     ).agg(F.count(F.lit(1)).alias("symbols"))
     seen = _per_stream(covered, "component", "symbols", "symbols_seen")
-    epochs = _per_stream(
-        effects.where(F.col("component").isin("data", "tbt"))
-        .groupBy("run_id", "component")
-        .agg(F.max("connection_epoch").alias("epoch")),
-        "component", "epoch", "connection_epochs",
-    )
-    verdict = quality.run_status(effects, require_ready=require_ready)
-    reasons = quality.degraded_reasons(effects)
+    verdict = quality.run_summary(effects, require_ready=require_ready)
     table = (
         span.join(verdict, "run_id", "left")
-        .join(reasons, "run_id", "left")
         .join(received, "run_id", "left")
         .join(seen, "run_id", "left")
-        .join(epochs, "run_id", "left")
     )
     if parts is not None:
         written = parts.groupBy("run_id", "source").agg(
@@ -81,6 +72,10 @@ def manifests(
             "clean_shutdown": F.coalesce(F.col("status") != "failed", F.lit(False)),
             "degraded_reasons": F.coalesce("degraded_reasons", F.array().cast("array<string>")),
             "configuration": configuration,
+            "connection_epochs": F.create_map(
+                F.lit("data"), F.col("epoch_data").cast("bigint"),
+                F.lit("tbt"), F.col("epoch_tbt").cast("bigint"),
+            ),
         }
     )
     return built.select(

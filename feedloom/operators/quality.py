@@ -40,12 +40,13 @@ def fatal_reason(component: Column, event_type: Column, severity: Column,
                  details_json: Column) -> Column:
     """Reason by which a control row fails its run, or null."""
     # The error message arrives as text inside the details; it is fatal only if it is an object
-    # in which the server says so.
+    # in which the server says so. The parse sits in a branch of its own: as part of a condition
+    # it would be computed for every row.
     said = payload.fields(F.get_json_object(details_json, "$.payload"))
     rejected = (event_type == "socket_error") & (component == "data")
     ends = F.concat(component, F.lit("_"), event_type)
     return (
-        F.when(rejected & payload.is_server_error(said), F.lit("data_server_error"))
+        F.when(rejected, F.when(payload.is_server_error(said), F.lit("data_server_error")))
         .when(event_type == "server_error", F.concat(component, F.lit("_server_error")))
         .when(event_type.isin("feed_stale", "feed_stale_retry_failure", "connect_timeout"), ends)
         .when(event_type.rlike("^(data|tbt)_(disconnect_timeout|reconnect_exhausted)$"),
@@ -70,48 +71,67 @@ def with_effects(control: DataFrame) -> DataFrame:
     )
 
 
-def degraded_reasons(effects: DataFrame) -> DataFrame:
-    """Distinct reasons per run, sorted.
+def reason_counts(effects: DataFrame) -> DataFrame:
+    """Control rows reduced to one row per run, component and pair of reasons.
 
-    Distinct comes first, so that at most the fixed vocabulary of reasons reaches one group.
+    Reasons come from a fixed vocabulary, so this is small; its aggregates are numbers, so it is
+    hashed and mostly done before the shuffle. Verdicts and reason lists start from it.
     """
-    return (
-        effects.where(F.col("degraded_reason").isNotNull())
-        .select("run_id", "degraded_reason")
-        .distinct()
-        .groupBy("run_id")
-        .agg(F.array_sort(F.collect_list("degraded_reason")).alias("degraded_reasons"))
+    return effects.groupBy("run_id", "component", "degraded_reason", "fatal_reason").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("event_id").alias("first_event_id"),
+        F.max("connection_epoch").alias("last_epoch"),
+        F.count_if(F.col("event_type") == "streams_ready").alias("ready"),
     )
 
 
-def run_status(effects: DataFrame, *, require_ready: bool = True) -> DataFrame:
-    """Verdict per run: any fatal reason fails it, any other reason degrades it.
+def run_summary(effects: DataFrame, *, require_ready: bool = True) -> DataFrame:
+    """Verdict, reasons and epochs per run.
 
-    The first fatal reason by ``event_id`` is the stop reason. A run without ``streams_ready``
-    (and without an earlier fatal reason) fails as not ready. One pass, partially aggregated.
+    Any fatal reason fails a run, any other reason degrades it. The first fatal reason by
+    ``event_id`` is the stop reason. A run without ``streams_ready`` (and without a fatal
+    reason) fails as not ready.
     """
     fatal = F.col("fatal_reason")
-    first_fatal = F.min(
-        F.when(fatal.isNotNull(), F.struct(F.col("event_id"), fatal.alias("reason")))
-    )["reason"]
-    totals = effects.groupBy("run_id").agg(
-        first_fatal.alias("_fatal"),
-        F.count(F.col("degraded_reason")).alias("_degrading"),
-        F.count(F.when(F.col("event_type") == "streams_ready", 1)).alias("_ready"),
+    first_fatal = F.min(F.when(fatal.isNotNull(), F.struct("first_event_id", fatal)))
+
+    def epoch(component: str) -> Column:
+        return F.max(F.when(F.col("component") == component, F.col("last_epoch")))
+
+    totals = reason_counts(effects).groupBy("run_id").agg(
+        first_fatal["fatal_reason"].alias("_fatal"),
+        # At most the vocabulary of reasons.
+        F.array_sort(F.collect_set("degraded_reason")).alias("degraded_reasons"),
+        F.sum("ready").alias("_ready"),
+        epoch("data").alias("epoch_data"),
+        epoch("tbt").alias("epoch_tbt"),
     )
     stop = F.col("_fatal")
     if require_ready:
         stop = F.coalesce(stop, F.when(F.col("_ready") == 0, F.lit(NOT_READY)))
     status = (
         F.when(F.col("stop_reason").isNotNull(), "failed")
-        .when(F.col("_degrading") > 0, "degraded")
+        .when(F.size("degraded_reasons") > 0, "degraded")
         .otherwise("complete")
     )
     return (
         totals.withColumn("stop_reason", stop)
         .withColumn("status", status)
         .withColumn("marker", marker(F.col("status")))
-        .select("run_id", "status", "marker", "stop_reason")
+        .drop("_fatal", "_ready")
+    )
+
+
+def degraded_reasons(effects: DataFrame) -> DataFrame:
+    """Distinct reasons per degraded run, sorted."""
+    summary = run_summary(effects).select("run_id", "degraded_reasons")
+    return summary.where(F.size("degraded_reasons") > 0)
+
+
+def run_status(effects: DataFrame, *, require_ready: bool = True) -> DataFrame:
+    """Status, completion marker and stop reason per run."""
+    return run_summary(effects, require_ready=require_ready).select(
+        "run_id", "status", "marker", "stop_reason"
     )
 
 

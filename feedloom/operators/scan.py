@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK_ROWS = 1 << 20
 _CHUNK = "_chunk"
@@ -36,11 +37,21 @@ class Running:
             return F.last(value, ignorenulls=True).over(window)
         return {"max": F.max, "min": F.min, "sum": F.sum}[self.how](value).over(window)
 
-    def summary(self, column: str, order: str, forward: bool) -> Column:
+    def summary(
+        self, column: str, order: str, forward: bool, fields: Sequence[str] = ()
+    ) -> Column:
+        """Aggregate of a chunk. A struct is picked field by field.
+
+        Aggregates over numbers are hashed; one over a struct would sort all rows first.
+        """
         value = F.col(column)
         if self.how == "nearest":
-            pick = F.max_by if forward else F.min_by
-            return pick(value, F.when(value.isNotNull(), F.col(order)))
+            pick, end = (F.max_by, F.max) if forward else (F.min_by, F.min)
+            place = F.when(value.isNotNull(), F.col(order))
+            if not fields:
+                return pick(value, place)
+            picked = F.struct(*[pick(value[name], place).alias(name) for name in fields])
+            return F.when(end(place).isNotNull(), picked)
         return {"max": F.max, "min": F.min, "sum": F.sum}[self.how](value)
 
     def combine(self, carried: Column, local: Column) -> Column:
@@ -73,7 +84,7 @@ def running(
     """
     keys = list(keys)
     inputs = {f"_in_{name}": spec for name, spec in values.items()}
-    cut = F.floor(F.col(order) / F.lit(chunk_rows)).cast("bigint")
+    cut = F.call_function("div", F.col(order), F.lit(chunk_rows))
     tagged = rows.withColumns(
         {_CHUNK: cut, **{f"_in_{name}": spec.value for name, spec in values.items()}}
     )
@@ -82,8 +93,16 @@ def running(
     earlier_chunks = (
         Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
     )
+    fields = {
+        name: tagged.schema[name].dataType.fieldNames()
+        for name in inputs
+        if isinstance(tagged.schema[name].dataType, T.StructType)
+    }
     summaries = tagged.groupBy(*keys, _CHUNK).agg(
-        *[spec.summary(name, order, forward).alias(name) for name, spec in inputs.items()]
+        *[
+            spec.summary(name, order, forward, fields.get(name, ())).alias(name)
+            for name, spec in inputs.items()
+        ]
     )
     carried = summaries.select(
         *keys,

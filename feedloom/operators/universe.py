@@ -17,12 +17,15 @@ from feedloom.operators.joins import sized_broadcast
 SYMBOLS_PER_CONNECTION = 5
 MAX_CONNECTIONS = 3
 
-# Python's whitespace set, as trimmed from a listed symbol.
-_SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
+# The whitespace trimmed from a listed symbol.
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
+    return F.trim(text, F.lit(_SPACES))
 
 
 def parse_symbols(raw: Column) -> Column:
@@ -35,21 +38,19 @@ def parse_symbols(raw: Column) -> Column:
     listed = F.when(
         text.startswith("["), F.from_json(text, "array<string>")
     ).otherwise(F.split(text, ","))
+    items = F.transform(listed, _trimmed)
     named = F.transform(
-        listed,
+        F.filter(items, lambda item: item != ""),
         lambda item, place: F.struct(
-            F.upper(_trimmed(item)).alias("folded"),
-            place.alias("place"),
-            _trimmed(item).alias("symbol"),
+            F.upper(item).alias("folded"), place.alias("place"), item.alias("symbol")
         ),
     )
-    ranked = F.array_sort(F.filter(named, lambda item: item["folded"] != ""))
+    ranked = F.sort_array(named)
+    previous = F.concat(F.array(F.lit(None).cast("string")), ranked["folded"])
     firsts = F.filter(
         F.zip_with(
             ranked,
-            F.concat(
-                F.array(F.lit(None).cast("string")), F.transform(ranked, lambda i: i["folded"])
-            ),
+            previous,
             lambda item, before: F.struct(
                 item["place"].alias("place"),
                 item["symbol"].alias("symbol"),
@@ -58,12 +59,12 @@ def parse_symbols(raw: Column) -> Column:
         ),
         lambda item: item["symbol"].isNotNull() & item["first"],
     )
-    return F.transform(F.array_sort(firsts), lambda item: item["symbol"])
+    return F.sort_array(firsts)["symbol"]
 
 
 def connection_key(position: Column, per_connection: int = SYMBOLS_PER_CONNECTION) -> Column:
     """Depth connection of the symbol at a zero-based position of its list."""
-    group = F.floor(position / F.lit(per_connection)).cast("bigint") + 1
+    group = F.call_function("div", position, F.lit(per_connection)) + 1
     return F.concat(F.lit("tbt:"), group.cast("string"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from feedloom import schemas
 from feedloom.functions import coerce, payload
 from feedloom.operators import normalize, numbering, replay, route, sequence
 from feedloom.plans import feeds
@@ -11,11 +12,12 @@ from feedloom.plans.feeds import (
     BOOKS_SQL, CONFIGURED_SQL, CONTROL_SQL, DEPTH_SQL, QUOTES_SQL, TICKS_SQL, books, control_core,
     depth_core, quote_messages, table, ticks, with_sql,
 )
+from feedloom.session import shared_dir
 
 
 def depth_length_check(spark, sf):
     """Books of both feeds that have them: which rows are kept, which quarantined."""
-    kept, refused = normalize.split_books(books(spark, sf))
+    kept, refused = normalize.split_books(_stored_books(spark, sf))
     return kept.select("event_id", F.lit("kept").alias("verdict")).unionByName(
         refused.select("event_id", F.lit("quarantined").alias("verdict"))
     )
@@ -33,9 +35,7 @@ def depth_coerce(spark, sf):
 
 
 def normalize_depth(spark, sf):
-    kept, _ = normalize.split_books(books(spark, sf))
-    rows = normalize.normalize_depth(kept)
-    return rows.select(
+    return _typed_books(spark, sf).select(
         "run_id", "event_id", "source", "symbol", "channel", "total_buy_qty", "total_sell_qty",
         F.element_at("bid_prices", 1).alias("bid_1"),
         F.element_at("bid_prices", 50).alias("bid_50"),
@@ -56,8 +56,15 @@ def route_depth(spark, sf):
     )
 
 
+def _stored_books(spark, sf):
+    """Depth messages at rest, as they arrive: built once, then read like any recording."""
+    path = shared_dir(spark, "messages")
+    books(spark, sf).write.parquet(path)
+    return spark.read.schema(schemas.DEPTH_MESSAGES).parquet(path)
+
+
 def _typed_books(spark, sf):
-    kept, _ = normalize.split_books(books(spark, sf))
+    kept, _ = normalize.split_books(_stored_books(spark, sf))
     return normalize.normalize_depth(kept)
 
 
@@ -134,14 +141,13 @@ def connection_epochs(spark, sf):
 
 def _trades(spark, sf):
     """Narrow quote rows: only the fields the analysis needs are taken from the payload."""
-    parsed = quote_messages(spark, sf).withColumn("_m", payload.fields(F.col("payload")))
-    message = F.col("_m")
-    wanted = normalize.quote_fields(message)
+    named = quote_messages(spark, sf, known_symbol=True).where(F.col("symbol").isNotNull())
+    parsed = named.withColumn("_m", payload.fields(F.col("payload")))
+    wanted = normalize.quote_fields(F.col("_m"))
     return parsed.select(
-        "run_id", "event_id", "received_at_unix_ns",
-        F.when(message["symbol"] != "", message["symbol"]).alias("symbol"),
+        "run_id", "event_id", "received_at_unix_ns", "symbol",
         *[wanted[n].alias(n) for n in ("ltp", "last_traded_qty", "volume_traded_today")],
-    ).where(F.col("symbol").isNotNull())
+    )
 
 
 def footprint(spark, sf):
@@ -154,10 +160,9 @@ def footprint(spark, sf):
 
 def asof_depth(spark, sf):
     quotes = _trades(spark, sf).select("run_id", "event_id", "symbol", "ltp")
-    kept, _ = normalize.split_books(books(spark, sf))
     message = F.col("message")
-    # Only the best level is coerced: the other 49 never leave the scan.
-    best = kept.select(
+    # Only the best level takes part, so only that is read and coerced.
+    best = books(spark, sf, levels=1).select(
         "run_id", "event_id", F.col("ticker").alias("symbol"),
         *[
             cast(F.slice(message[name], 1, 1)).alias(stored)
@@ -231,7 +236,6 @@ STATUS_SQL = DIAGNOSED_VIEW + """
 SELECT run_id, event_id, symbol, connection_epoch, sequence_no, previous_sequence_no, sequence_delta,
        sequence_status, is_first_after_reconnect FROM diagnosed"""
 BOOKS_VIEW = with_sql(TICKS_SQL, BOOKS_SQL)
-_STEP = "0.05::DOUBLE"
 
 QUERIES = {
     "depth_length_check": (depth_length_check, BOOKS_VIEW + """
@@ -242,10 +246,10 @@ FROM (SELECT vec_id, unnest(embedding[1:50]) AS x, generate_subscripts(embedding
       FROM embeddings)"""),
     "normalize_depth": (normalize_depth, BOOKS_VIEW + f"""
 SELECT run_id, event_id, 'tbt_depth' AS source, symbol, '1' AS channel, k AS total_buy_qty,
-       k AS total_sell_qty, value + 0 * {_STEP} AS bid_1,
-       CASE WHEN kind = 'purchase' THEN 0.0 ELSE value + 49 * {_STEP} END AS bid_50,
-       (value + 1) + 24 * {_STEP} AS ask_25,
-       CASE WHEN kind = 'purchase' THEN 0.0 ELSE (value + 1) + 49 * {_STEP} END AS ask_50,
+       k AS total_sell_qty, cents::DOUBLE AS bid_1,
+       CASE WHEN kind = 'purchase' THEN 0.0 ELSE (cents + 245)::DOUBLE END AS bid_50,
+       (cents + 220)::DOUBLE AS ask_25,
+       CASE WHEN kind = 'purchase' THEN 0.0 ELSE (cents + 345)::DOUBLE END AS ask_50,
        k + 50 AS bid_qty_50, 4 AS ask_orders_50, 50 AS levels, kind = 'signup' AS is_snapshot,
        100 AS feed_time, 100 AS send_time, sequence_no,
        'sdk_reconstructed_state' AS payload_semantics FROM books WHERE full_book"""),
@@ -255,14 +259,14 @@ SELECT t.tick_id, t.ticker, c.connection_key,
 FROM (SELECT tick_id, {feeds.SYMBOL_SQL} AS ticker FROM ticks) t
 LEFT JOIN configured c ON upper(t.ticker) = c.symbol_upper"""),
     "best_level": (best_level, BOOKS_VIEW + f"""
-SELECT event_id, symbol, value + 0 * {_STEP} AS best_bid, k + 1 AS best_bid_qty,
-       (value + 1) + 0 * {_STEP} AS best_ask, k + 2 AS best_ask_qty, sequence_no
+SELECT event_id, symbol, cents::DOUBLE AS best_bid, k + 1 AS best_bid_qty,
+       (cents + 100)::DOUBLE AS best_ask, k + 2 AS best_ask_qty, sequence_no
 FROM books WHERE full_book"""),
     "depth_levels": (depth_levels, BOOKS_VIEW + f"""
 SELECT run_id, i + 1 AS level, count(*) AS books, sum(k + i + 1)::BIGINT AS bid_quantity,
        sum(k + i + 2)::BIGINT AS ask_quantity,
-       max(CASE WHEN kind = 'purchase' AND i = 49 THEN 0.0 ELSE value + i * {_STEP} END) AS highest_bid,
-       min(CASE WHEN kind = 'purchase' AND i = 49 THEN 0.0 ELSE (value + 1) + i * {_STEP} END)
+       max(CASE WHEN kind = 'purchase' AND i = 49 THEN 0.0 ELSE (cents + 5 * i)::DOUBLE END) AS highest_bid,
+       min(CASE WHEN kind = 'purchase' AND i = 49 THEN 0.0 ELSE (cents + 100 + 5 * i)::DOUBLE END)
          AS lowest_ask
 FROM books, (SELECT unnest(range(50)) AS i) WHERE full_book GROUP BY run_id, i"""),
     "prev_sequence": (prev_sequence, DIAGNOSED_VIEW + """
@@ -306,18 +310,18 @@ SELECT run_id, event_id, symbol, last_traded_qty, volume_traded_today, previous_
     "asof_depth": (asof_depth, with_sql(TICKS_SQL, QUOTES_SQL, BOOKS_SQL) + f"""
 , both_feeds AS (
   SELECT run_id, event_id, upper(symbol) AS folded, symbol, ltp, NULL AS depth_event_id,
-         NULL AS value, NULL AS k FROM quotes WHERE symbol IS NOT NULL
+         NULL AS cents, NULL AS k FROM quotes WHERE symbol IS NOT NULL
   UNION ALL
-  SELECT run_id, event_id, upper(symbol), NULL, NULL, event_id, value, k FROM books WHERE full_book),
+  SELECT run_id, event_id, upper(symbol), NULL, NULL, event_id, cents, k FROM books),
 filled AS (
   SELECT *, last_value(depth_event_id IGNORE NULLS) OVER before AS latest_id,
-         last_value(value IGNORE NULLS) OVER before AS latest_value,
+         last_value(cents IGNORE NULLS) OVER before AS latest_cents,
          last_value(k IGNORE NULLS) OVER before AS latest_k
   FROM both_feeds WINDOW before AS (PARTITION BY run_id, folded ORDER BY event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT run_id, event_id, symbol, ltp, latest_id AS depth_event_id,
-       latest_value + 0 * {_STEP} AS best_bid, latest_k + 1 AS best_bid_qty,
-       (latest_value + 1) + 0 * {_STEP} AS best_ask, latest_k + 2 AS best_ask_qty
+       latest_cents::DOUBLE AS best_bid, latest_k + 1 AS best_bid_qty,
+       (latest_cents + 100)::DOUBLE AS best_ask, latest_k + 2 AS best_ask_qty
 FROM filled WHERE depth_event_id IS NULL"""),
     "replay_order": (replay_order, with_sql(TICKS_SQL, QUOTES_SQL) + """
 SELECT run_id, event_id, received_at_unix_ns FROM quotes ORDER BY event_id"""),

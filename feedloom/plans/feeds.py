@@ -24,11 +24,27 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def ticks(spark: SparkSession, sf: str) -> DataFrame:
-    """``events`` with a run per ten days of a month, receipt nanoseconds and the props number."""
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores if the scan has fewer splits than cores, else untouched.
+
+    A small file is one split and would keep one core busy. A large table has more splits than
+    the cluster has cores and is never shuffled here.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, key)
+
+
+def ticks(spark: SparkSession, sf: str, *, heavy: bool = False) -> DataFrame:
+    """``events`` with a run per ten days of a month, receipt nanoseconds and the props number.
+
+    ``heavy`` announces costly row-local work on top (see ``spread``).
+    """
+    events = table(spark, sf, "events")
     stamp = F.col("ts").cast("timestamp")
     run = F.call_function("div", F.dayofmonth(stamp) - 1, F.lit(10))
-    return table(spark, sf, "events").select(
+    return (spread(events, "event_id") if heavy else events).select(
         F.concat(F.lit("run-"), run.cast("string")).alias("run_id"),
         F.col("event_id").alias("tick_id"),
         (F.unix_micros(stamp) * 1000).alias("received_at_unix_ns"),
@@ -107,10 +123,10 @@ def _arrival(ids: Column, epoch: Column, connection: Column) -> list[Column]:
     ]
 
 
-def quote_messages(spark: SparkSession, sf: str) -> DataFrame:
+def quote_messages(spark: SparkSession, sf: str, *, known_symbol: bool = False) -> DataFrame:
     """One quote message per tick, its payload built from the tick's kind.
 
-    k = 0 has no symbol, k = 1 is not an object.
+    k = 0 has no symbol, k = 1 is not an object. ``known_symbol`` adds the symbol as a column.
     """
     symbol = F.when(F.col("k") != 0, spelled_symbol())
     named = F.when(symbol.isNotNull(), F.concat(F.lit('"symbol":"'), symbol, F.lit('",')))
@@ -149,8 +165,10 @@ def quote_messages(spark: SparkSession, sf: str) -> DataFrame:
                   ',"vol_traded_today":', volume, "}")
         )
     )
-    return ticks(spark, sf).select(
-        *_arrival(F.col("tick_id") * 3 + 2, F.lit(1), F.lit("data")), payload.alias("payload")
+    return ticks(spark, sf, heavy=True).select(
+        *_arrival(F.col("tick_id") * 3 + 2, F.lit(1), F.lit("data")),
+        payload.alias("payload"),
+        *([F.when(F.col("k") != 1, symbol).alias("symbol")] if known_symbol else []),
     )
 
 
@@ -212,25 +230,44 @@ DEPTH_SQL = f"""depth AS (
   FROM (SELECT *, 'tbt:' || (user_id // 5 + 1) AS connection_key FROM ticks))"""
 
 
-def books(spark: SparkSession, sf: str) -> DataFrame:
-    """Depth messages with 50 levels as text; purchases carry a bad level, some errors 49."""
-    levels = F.when(
-        (F.col("kind") == "error") & (F.col("k") < 10), F.lit(schemas.BOOK_LEVELS - 1)
-    ).otherwise(F.lit(schemas.BOOK_LEVELS))
-    places = F.sequence(F.lit(0), levels - 1)
-
-    def side(of: Column, last: str) -> Column:
-        bad = F.col("kind") == "purchase"
-        return F.transform(
-            places,
-            lambda i: F.when(bad & (i == 49), F.lit(last)).otherwise(
-                (of + i * F.lit(0.05)).cast("string")
-            ),
-        )
+def books(spark: SparkSession, sf: str, levels: int = schemas.BOOK_LEVELS) -> DataFrame:
+    """Depth messages with 50 levels as text; purchases carry a bad level, some errors 49.
 
-    def sizes(plus: int) -> Column:
-        return F.transform(places, lambda i: (F.col("k") + i + plus).cast("string"))
+    Prices are whole hundredths, five apart.
+    """
+    short = (F.col("kind") == "error") & (F.col("k") < 10)
+    full = levels == schemas.BOOK_LEVELS
+
+    def side(first: Column, step: int) -> Column:
+        texts = F.sequence(first, first + step * (levels - 1), F.lit(step).cast("bigint"))
+        return texts.cast("array<string>")
 
+    def cut(texts: Column) -> Column:
+        return F.when(short, F.slice(texts, 1, levels - 1)).otherwise(texts) if full else texts
+
+    def prices(first: Column, last: str) -> Column:
+        texts = side(first, 5)
+        if not full:
+            return texts
+        head = F.slice(texts, 1, levels - 1)
+        spoilt = F.concat(head, F.array(F.lit(last)))
+        return F.when(F.col("kind") == "purchase", spoilt).otherwise(cut(texts))
+
+    def sizes(plus: int) -> Column:
+        return cut(side(F.col("k") + plus, 1))
+
+    def orders(count: str) -> Column:
+        return cut(F.array_repeat(F.lit(count), levels))
+
+    cents = F.floor(F.col("value") * 100)
+    sides = {
+        "bidprice": prices(cents, "x"),
+        "askprice": prices(cents + 100, ""),
+        "bidqty": sizes(1),
+        "askqty": sizes(2),
+        "bidordn": orders("3"),
+        "askordn": orders("4"),
+    }
     k = F.col("k").cast("string")
     sequence = F.when(F.col("kind") == "click", F.concat(k, F.lit(".7"))).when(
         F.col("kind") != "view", k
@@ -238,18 +275,13 @@ def books(spark: SparkSession, sf: str) -> DataFrame:
     message = F.struct(
         k.alias("tbq"),
         F.concat(k, F.lit(".9")).alias("tsq"),
-        side(F.col("value"), "x").alias("bidprice"),
-        side(F.col("value") + 1, "").alias("askprice"),
-        sizes(1).alias("bidqty"),
-        sizes(2).alias("askqty"),
-        F.transform(places, lambda i: F.lit("3")).alias("bidordn"),
-        F.transform(places, lambda i: F.lit("4")).alias("askordn"),
+        *[F.col(name) for name in sides],
         F.when(F.col("kind") == "signup", "true").otherwise("false").alias("snapshot"),
         F.lit("100").alias("timestamp"),
         F.lit("1e2").alias("sendtime"),
         sequence.alias("seqNo"),
     )
-    return ticks(spark, sf).select(
+    return ticks(spark, sf, heavy=True).withColumns(sides).select(
         *_arrival(F.col("tick_id") * 3 + 1, F.lit(1), connection_key(F.col("user_id"))),
         spelled_symbol().alias("ticker"),
         F.lit("1").alias("channel"),
@@ -259,6 +291,7 @@ def books(spark: SparkSession, sf: str) -> DataFrame:
 
 BOOKS_SQL = f"""books AS (
   SELECT run_id, tick_id * 3 + 1 AS event_id, {SYMBOL_SQL} AS symbol, kind, value, k,
+         CAST(floor(value * 100) AS BIGINT) AS cents,
          CASE WHEN kind <> 'view' THEN k END AS sequence_no,
          NOT (kind = 'error' AND k < 10) AS full_book
   FROM ticks)"""
@@ -353,7 +386,7 @@ def line_control(spark: SparkSession, sf: str) -> DataFrame:
     said = F.when(F.col("l_discount") < 0.04, '{"payload":"{\\"s\\":\\"ERROR\\"}"}').otherwise(
         '{"payload":"{\\"s\\":\\"ok\\"}"}'
     )
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("run_id"),
         (F.col("l_linenumber") * F.lit(10**12) + F.col("l_partkey")).alias("event_id"),
         F.when(flag == "R", "tbt_depth").when(flag == "A", "symbol_update").otherwise("control")

@@ -121,7 +121,8 @@ def symbol_connection(spark, sf):
 def symbol_universe(spark, sf):
     """Each document's text as the comma list of one run's configuration."""
     return universe.universe(
-        table(spark, sf, "documents"), "text", ["doc_id"], max_symbols=None
+        feeds.spread(table(spark, sf, "documents"), "doc_id"), "text", ["doc_id"],
+        max_symbols=None,
     ).select("doc_id", "position", "symbol")
 
 

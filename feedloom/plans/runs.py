@@ -24,10 +24,16 @@ def first_event_gate(spark, sf):
     ).select("run_id", "component", "symbol_upper", "first_seen_ns", "arrival")
 
 
+KINDS = ("view", "click", "purchase", "signup", "error")
+
+
 def missing_symbols(spark, sf):
+    """Symbols a run never saw on a feed, with every kind of event as a feed of its own."""
+    seen = feeds.ticks(spark, sf).select(
+        "run_id", F.col("kind").alias("component"), feeds.spelled_symbol().alias("symbol")
+    )
     return universe.missing_symbols(
-        feeds.configured_per_run(spark, sf), feeds.seen_events(spark, sf), ["run_id"],
-        health.COMPONENTS,
+        feeds.configured_per_run(spark, sf), seen, ["run_id"], KINDS
     )
 
 
@@ -193,9 +199,10 @@ SELECT e.run_id, e.component, e.symbol_upper, f.first_seen_ns,
 FROM expected e JOIN spans r USING (run_id)
 LEFT JOIN (SELECT run_id, component, symbol_upper, min(received_at_unix_ns) AS first_seen_ns
            FROM seen GROUP BY ALL) f USING (run_id, component, symbol_upper)"""),
-    "missing_symbols": (missing_symbols, SEEN_VIEW.rstrip() + ",\n" + _EXPECTED + """
-SELECT run_id, component, symbol_upper FROM expected
-EXCEPT SELECT run_id, component, symbol_upper FROM seen"""),
+    "missing_symbols": (missing_symbols, with_sql(TICKS_SQL, CONFIGURED_SQL, RUN_UNIVERSE_SQL) + f"""
+SELECT u.run_id, c.component, u.symbol_upper FROM run_universe u,
+  (SELECT unnest({list(KINDS)}) AS component) c
+EXCEPT SELECT run_id, kind, upper({feeds.SYMBOL_SQL}) FROM ticks"""),
     "stale_feeds": (stale_feeds, SEEN_VIEW.rstrip() + ",\n" + _SILENCES + """
 SELECT * FROM silences WHERE stale_at_ns <= silent_until_ns"""),
     "stale_attempts": (stale_attempts, SEEN_VIEW.replace("WITH ", "WITH RECURSIVE ", 1).rstrip()

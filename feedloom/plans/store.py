@@ -193,9 +193,12 @@ def file_inventory(spark, sf):
 def part_latest(spark, sf):
     """Latest receipt of each buffer (stream, date, hour): the name of its part."""
     rows = normalize.with_envelope(quote_messages(spark, sf), schemas.SYMBOL_UPDATE)
-    return rows.groupBy("source", "trading_date", "receipt_hour").agg(
-        F.max_by("received_at_local", "received_at_unix_ns").alias("latest_received_at_local")
+    latest = rows.groupBy("source", "trading_date", "receipt_hour").agg(
+        F.max("received_at_unix_ns").alias("_ns")
     )
+    # The local time follows from the nanoseconds, so only a number is aggregated.
+    local = clock.iso_local(clock.utc_time(F.col("_ns")))
+    return latest.withColumn("latest_received_at_local", local).drop("_ns")
 
 
 def written_counts(spark, sf):
@@ -379,7 +382,7 @@ SELECT run_id, event_id, CASE route WHEN 'data' THEN 'symbol_update' ELSE 'contr
     "src_depth": (src_depth, with_sql(TICKS_SQL, BOOKS_SQL) + f"""
 SELECT b.run_id, b.event_id, b.symbol, '1' AS channel,
        strftime({_LOCAL_DAY}, '%Y-%m-%d') AS trading_date,
-       b.value + 0 * 0.05::DOUBLE AS bid_1, 50 AS levels, b.sequence_no
+       b.cents::DOUBLE AS bid_1, 50 AS levels, b.sequence_no
 FROM books b JOIN ticks t ON b.event_id = t.tick_id * 3 + 1 WHERE full_book"""),
     "src_lifecycle": (src_lifecycle, with_sql(TICKS_SQL) + """
 SELECT run_id, tick_id * 3 + 3 AS event_id, CASE WHEN k < 50 THEN 'data' ELSE 'tbt' END AS component,

@@ -127,7 +127,6 @@ def part_stats(parts: DataFrame) -> DataFrame:
         F.max("event_id").alias("max_event_id"),
         F.min("received_at_unix_ns").alias("min_received_at_unix_ns"),
         F.max("received_at_unix_ns").alias("max_received_at_unix_ns"),
-        F.max_by("received_at_local", "received_at_unix_ns").alias("latest_received_at_local"),
     )
 
 
