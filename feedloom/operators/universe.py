@@ -78,16 +78,19 @@ def universe(
 ) -> DataFrame:
     """One row per configured symbol: keys, position, symbol, its fold and its connection.
 
-    A list with more than ``max_symbols`` symbols is an error; None lifts the limit.
+    A list that is malformed, empty or longer than ``max_symbols`` is an error; None lifts that.
     """
     parsed = lists.select(*keys, parse_symbols(F.col(raw)).alias("_symbols"))
     if max_symbols is not None:
-        too_many = F.concat(
-            F.lit(f"more than {max_symbols} symbols: "), F.size("_symbols").cast("string")
+        size = F.coalesce(F.size("_symbols"), F.lit(-1))
+        problem = (
+            F.when(size < 0, "the symbol list is not valid JSON")
+            .when(size == 0, "the symbol list has no usable symbols")
+            .otherwise(f"more than {max_symbols} symbols")
         )
         parsed = parsed.where(
-            F.when(F.size("_symbols") <= max_symbols, F.lit(True)).otherwise(
-                F.raise_error(too_many).cast("boolean")
+            F.when((size > 0) & (size <= max_symbols), F.lit(True)).otherwise(
+                F.raise_error(problem).cast("boolean")
             )
         )
     return parsed.select(*keys, F.posexplode("_symbols").alias("position", "symbol")).select(
