@@ -82,44 +82,45 @@ def silences(
         "run_id", "component", F.upper("symbol").alias("symbol_upper"), "event_id",
         "received_at_unix_ns",
     )
-    between = running(
-        arrivals,
-        keys,
-        "event_id",
-        {"silent_from_ns": Running(F.col("received_at_unix_ns"))},
-        chunk_rows=chunk_rows,
-    ).select(
-        *keys,
-        "silent_from_ns",
-        F.col("received_at_unix_ns").alias("silent_until_ns"),
-        F.lit(False).alias("open_ended"),
-    ).where(F.col("silent_from_ns").isNotNull())
-    last_seen = arrivals.groupBy(*keys).agg(
-        F.max_by("received_at_unix_ns", "event_id").alias("silent_from_ns")
+    # A span shorter than the timeout cannot count; dropping those leaves little to join.
+    between = (
+        running(
+            arrivals,
+            keys,
+            "event_id",
+            {"silent_from_ns": Running(F.col("received_at_unix_ns"))},
+            chunk_rows=chunk_rows,
+        )
+        .where(
+            F.col("received_at_unix_ns") - F.col("silent_from_ns") >= timeout_seconds * _NS
+        )
+        .select(*keys, "silent_from_ns", F.col("received_at_unix_ns").alias("silent_until_ns"))
     )
-    tails = last_seen.join(window, "run_id").select(
-        *keys, "silent_from_ns", F.col("ended_at_ns").alias("silent_until_ns"),
-        F.lit(True).alias("open_ended"),
+    open_ended = F.lit(None).cast("bigint").alias("silent_until_ns")
+    tails = arrivals.groupBy(*keys).agg(
+        F.max_by("received_at_unix_ns", "event_id").alias("silent_from_ns")
     )
-    spans = between.unionByName(tails)
+    spans = between.unionByName(tails.select("*", open_ended))
     if configured is not None:
-        never = missing_symbols(configured, arrivals.withColumnRenamed("symbol_upper", "symbol"),
-                                ["run_id"], components)
-        spans = spans.unionByName(
-            never.join(window, "run_id").select(
-                *keys, F.lit(None).cast("bigint").alias("silent_from_ns"),
-                F.col("ended_at_ns").alias("silent_until_ns"), F.lit(True).alias("open_ended"),
-            )
+        never = missing_symbols(
+            configured, arrivals.withColumnRenamed("symbol_upper", "symbol"), ["run_id"],
+            components,
         )
-    # A span shorter than the timeout cannot count; dropping those leaves little to join.
-    long_enough = F.col("silent_until_ns") - F.col("silent_from_ns") >= timeout_seconds * _NS
-    spans = spans.where(F.coalesce(long_enough, F.lit(True)))
+        unseen = F.lit(None).cast("bigint").alias("silent_from_ns")
+        spans = spans.unionByName(never.select(*keys, unseen, open_ended))
+    until = F.col("silent_until_ns")
     stale_at = stale_moment(F.col("silent_from_ns"), F.col("ready_at_ns"), timeout_seconds)
     return (
-        spans.join(window.drop("ended_at_ns"), "run_id")
-        .withColumn("stale_at_ns", stale_at)
-        .where((F.lit(timeout_seconds) > 0) & (F.col("stale_at_ns") <= F.col("silent_until_ns")))
-        .drop("ready_at_ns")
+        spans.join(window, "run_id")
+        .withColumns(
+            {
+                "silent_until_ns": F.coalesce(until, F.col("ended_at_ns")),
+                "open_ended": until.isNull(),
+                "stale_at_ns": stale_at,
+            }
+        )
+        .where((F.lit(timeout_seconds) > 0) & (F.col("stale_at_ns") <= until))
+        .drop("ready_at_ns", "ended_at_ns")
     )
 
 

@@ -35,12 +35,19 @@ def manifests(
     ``run_id, source, rows``. Symbols are counted here; the list itself is ``quality.coverage``,
     which grows with the universe and so stays a table.
     """
-    span = events.groupBy("run_id").agg(
-        F.min("received_at_unix_ns").alias("started_at_unix_ns"),
-        F.max("received_at_unix_ns").alias("ended_at_unix_ns"),
+    # One row per run and stream first: the map below holds at most the three streams.
+    per_stream = events.groupBy("run_id", "source").agg(
+        F.count(F.lit(1)).alias("received"),
+        F.min("received_at_unix_ns").alias("_first"),
+        F.max("received_at_unix_ns").alias("_last"),
+    )
+    span = per_stream.groupBy("run_id").agg(
+        F.min("_first").alias("started_at_unix_ns"),
+        F.max("_last").alias("ended_at_unix_ns"),
+        F.map_from_entries(F.collect_list(F.struct("source", "received"))).alias(
+            "received_events"
+        ),
     )
-    received = _per_stream(quality.received_counts(events), "source", "received",
-                           "received_events")
     covered = quality.coverage(events.where(F.col("symbol").isNotNull())).groupBy(
         "run_id", "component"
     ).agg(F.count(F.lit(1)).alias("symbols"))
@@ -48,7 +55,6 @@ def manifests(
     verdict = quality.run_summary(effects, require_ready=require_ready)
     table = (
         span.join(verdict, "run_id", "left")
-        .join(received, "run_id", "left")
         .join(seen, "run_id", "left")
     )
     if parts is not None:

@@ -131,10 +131,10 @@ def sink_rotation(spark, sf):
 
 
 def scan_parts(spark, sf):
-    """Quotes of the dates from the middle of the month on; earlier folders are not read."""
+    """Prices and volumes over all recorded dates."""
     root = _stored_quotes(spark, sf)
     rows = lake.scan_parts(spark, root, schemas.SYMBOL_UPDATE)
-    return rows.where(F.col("trading_date") >= "2024-01-15").select(
+    return rows.select(
         "event_id", "symbol", "ltp", "last_traded_qty", "volume_traded_today",
         "received_at_local",
     )
@@ -401,7 +401,7 @@ SELECT trading_date, count(*) AS rows, false AS over_limit FROM {_DATED} GROUP B
     "scan_parts": (scan_parts, QUOTE_VIEW + f"""
 SELECT event_id, symbol, ltp, last_traded_qty, volume_traded_today,
        strftime({_LOCAL_DAY}, '%Y-%m-%dT%H:%M:%S.%f') || '+05:30' AS received_at_local
-FROM {_DATED} WHERE trading_date >= '2024-01-15'"""),
+FROM {_DATED}"""),
     "part_stats": (part_stats, QUOTE_VIEW + f"""
 SELECT trading_date, 'symbol_update' AS source, count(*) AS rows, min(event_id) AS min_event_id,
        max(event_id) AS max_event_id, min(received_at_unix_ns) AS min_received_at_unix_ns,
