@@ -15,10 +15,6 @@ def fields(raw: Column) -> Column:
     return F.from_json(raw, "map<string,string>")
 
 
-def is_object(raw: Column) -> Column:
-    return F.json_object_keys(raw).isNotNull()
-
-
 def first_present(message: Column, *keys: str) -> Column:
     """Text of the first key that is present and not null.
 

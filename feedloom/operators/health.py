@@ -187,9 +187,16 @@ def stale_attempts(
         return frame
 
     keys = ["run_id", "connection_key"]
+    # Few bytes but much work per row: a set number of partitions keeps AQE from merging them.
+    session = stale.sparkSession
+    width = min(
+        int(session.conf.get("spark.sql.shuffle.partitions")),
+        2 * session.sparkContext.defaultParallelism,
+    )
     return (
         stale.select(*keys, "stale_at_ns", "silent_until_ns")
         .join(last_seen.select(*keys, "oldest_last_ns"), keys, "left")
+        .repartition(width, *keys)
         .groupBy(*keys)
         .applyInPandas(fold, _ATTEMPTS)
     )

@@ -121,7 +121,7 @@ def sink_roundtrip(spark, sf):
 
 def sink_rotation(spark, sf):
     """Rows per date, and whether every file kept to the limit."""
-    limit = 50
+    limit = sinks.ROWS_PER_FILE
     root = _stored_quotes(spark, sf, rows_per_file=limit)
     parts = lake.part_stats(lake.scan_parts(spark, root, schemas.SYMBOL_UPDATE))
     date = F.regexp_extract("path", "trading_date=([^/]+)/", 1)
