@@ -104,10 +104,10 @@ def test_server_error_in_either_field_and_any_case(spark):
 def test_longest_secret_goes_first(spark):
     got = column(
         spark,
-        ["connected with APP-100:test-secret and cloudpe", "none"],
-        lambda v: redact.redact_text(v, ["test-secret", "APP-100:test-secret", "", "cloudpe"]),
+        ["opened by ID-7:hush-hush using store-key", "none"],
+        lambda v: redact.redact_text(v, ["hush-hush", "ID-7:hush-hush", "", "store-key"]),
     )
-    assert got == ["connected with <redacted> and <redacted>", "none"]
+    assert got == ["opened by <redacted> using <redacted>", "none"]
 
 
 def test_details_are_redacted_in_values_at_any_depth_only(spark):
