@@ -6,8 +6,9 @@ Each document picks the l with the least estimated candidate cost: a longer pref
 posting lists, but a candidate then needs l shared shingles before it is verified.
 
 Copies (equal sets) are one node throughout. A group of near copies is not expanded into its
-pairs: members are first verified against one leader of the lists they share, and only pairs
-that these links leave in different components are then enumerated, counted and verified.
+pairs: members are first verified against a leader of the lists they share. Of the pairs that these
+links leave in different components, those under one leader are compared in bounded blocks,
+and only the others are enumerated from the lists, counted and verified.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ HASH_BITS = 48
 CELL_BITS, COUNT_BITS = 26, 32
 HELD = 1 << 22  # Hashes a task gathers before it hands them on.
 BYTES_A_SLICE = 1 << 20
+#: Nodes of a block of a cluster, and shingles counted at a time.
+BLOCK, CHUNK = 256, 8192
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -325,6 +328,87 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _compare(percent: int):
+    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            sides = []
+            for table in (left, right):
+                rows = table["hashes"].combine_chunks()
+                sizes = np.diff(rows.offsets.to_numpy())
+                sides.append((rows.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes), sizes))
+            (x, x_row, x_size), (y, y_row, y_size) = sides
+            both = np.intersect1d(x, y)
+            shared = np.zeros((len(x_size), len(y_size)), np.int64)
+            for first in range(0, len(both), CHUNK):
+                part = both[first : first + CHUNK]
+                marks = []
+                for values, row, sizes in sides:
+                    at = np.searchsorted(part, values)
+                    hit = (at < len(part)) & (part[np.minimum(at, len(part) - 1)] == values)
+                    mark = np.zeros((len(sizes), len(part)), np.float32)
+                    mark[row[hit], at[hit]] = 1
+                    marks.append(mark)
+                shared += (marks[0] @ marks[1].T).astype(np.int64)
+            total = x_size[:, None] + y_size[None, :]
+            other = left["root"].to_numpy()[:, None] != right["root"].to_numpy()[None, :]
+            near = other & (100 * shared >= percent * (total - shared))
+            i, j = np.nonzero(near)
+            a, b = left["key"].to_numpy()[i], right["key"].to_numpy()[j]
+        return pa.table(
+            {
+                "a": pa.array(np.minimum(a, b), pa.int64()),
+                "b": pa.array(np.maximum(a, b), pa.int64()),
+            }
+        )
+
+    return compare
+
+
+def within_clusters(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of one cluster (nodes that have the same leader) in different trees.
+
+    Near copies share nearly all their prefixes, whether or not they are near enough to link, so
+    no prefix tells their pairs apart. The nodes outside the cluster's largest tree are compared
+    with its nodes in blocks of bounded size; a block's pairs stay in its task, only links leave.
+    """
+    trees = members.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = kept_table(
+        trees.groupBy("cluster").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"),
+            F.count(F.lit(1)).alias("trees"),
+        ).where("trees > 1").select(
+            "cluster", F.col("main.root").alias("main"),
+            F.ceil(F.col("n") / BLOCK).cast("int").alias("right_blocks"),
+            F.ceil((F.col("n") - F.col("main.n")) / BLOCK).cast("int").alias("left_blocks"),
+        ),
+        "mixed-clusters",
+    )
+    own = members.join(mixed, "cluster")
+
+    def block(n: str):
+        return F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+
+    def each(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = own.where("root <> main").select(
+        "cluster", "key", "root", block("left_blocks").alias("i"), each("right_blocks").alias("j")
+    )
+    right = own.select(
+        "cluster", "key", "root", each("left_blocks").alias("i"), block("right_blocks").alias("j")
+    )
+    keys = ("cluster", "i", "j")
+    left, right = (side.join(sets, "key") for side in (left, right))
+    left, right = (side.toDF(*side.columns) for side in (left, right))
+    return (
+        left.groupBy(*keys)
+        .cogroup(right.groupBy(*keys))
+        .applyInArrow(_compare(percent), "a long, b long")
+        .distinct()
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """(key, root) of every linked node, by alternating large and small stars until stable.
 
@@ -361,7 +445,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
-    """Per row doc_id, n_shingles, component_id and n_links (links of its set found on the way).
+    """Per row doc_id, n_shingles and component_id.
 
     Sets are those of distinct shingles of ``WORDS`` words; two link if 100 * shared is at least
     ``percent`` * all. The component id is the smallest doc_id that links reach. A null or empty
@@ -387,9 +471,8 @@ def near_duplicates(
     own = posted.where("h is null").select("doc_id", "key", "n")
     nodes = own.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
     postings = posted.where("h is not null").select("h", "key", "n", "level", "matches").distinct()
-    lists = postings.groupBy("h").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-    met = kept_table(postings.join(lists.where("low < high"), "h"), "lists")
-
+    lists = postings.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    met = kept_table(postings.join(lists, "h"), "lists")
     wanted = met.select("key").distinct().join(nodes, "key").select(F.col("rep").alias("_rep"))
     sources = rows.join(
         sized_broadcast(kept_table(wanted, "wanted")), F.col("doc_id").eqNullSafe(F.col("_rep"))
@@ -398,30 +481,47 @@ def near_duplicates(
         sources.select("text").mapInArrow(_whole_sets, "key long, hashes array<long>"), "sets"
     )
 
-    # One proposal per side and node: the leader that shares most of its lists.
-    ends = met.select("key", F.explode(F.array("low", "high")).alias("leader"))
-    shared = ends.where("leader <> key").groupBy("leader", "key").agg(F.count(F.lit(1)).alias("c"))
-    best = shared.groupBy("key", (F.col("leader") < F.col("key")).alias("side")).agg(
-        F.max(F.struct("c", "leader")).alias("x")
+    # Near copies are often closer to what they were made from than to each other, and that
+    # text is in the most and longest lists: it leads each of its lists, or else the first key.
+    weight = met.groupBy("key").agg(F.sum("size").alias("weight"))
+    heads = met.select("h", "key").join(weight, "key").groupBy("h").agg(
+        F.max(F.struct("weight", "key")).alias("central"), F.min("key").alias("low")
     )
+    leaders = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("central.key").alias("leader")), F.struct(F.lit(1).alias("side"), F.col("low").alias("leader"))))
+    ends = met.select("h", "key").join(heads.select("h", leaders.alias("x")), "h").select("key", "x.*")
+    shared = (
+        ends.where("leader <> key")
+        .groupBy("side", "leader", "key")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    # One proposal per side and node: the leader that shares most of its lists.
+    best = shared.groupBy("key", "side").agg(F.max(F.struct("c", "leader")).alias("x"))
     stars = best.select(
         F.least("x.leader", "key").alias("a"), F.greatest("x.leader", "key").alias("b")
     ).distinct()
     first = kept_table(verified(stars, sets, percent).distinct(), "star-links")
 
     roots = kept_table(components(first), "star-roots")
-    placed = met.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    led = best.where("side = 0").select("key", F.col("x.leader").alias("cluster"))
+    placed = kept_table(
+        met.join(roots, "key", "left").join(led, "key", "left").select(
+            "h", "key", "n", "level", "matches",
+            F.coalesce("root", "key").alias("root"), F.coalesce("cluster", "key").alias("cluster"),
+        ),
+        "placed",
+    )
     mixed = placed.groupBy("h").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s")
     left = kept_table(
-        placed.join(mixed.select("h"), "h").select("h", "key", "n", "level", "matches", "root"),
+        placed.join(mixed.select("h"), "h").select("h", "key", "n", "level", "matches", "root", "cluster"),
         "mixed-lists",
     )
-    x = left.select("h", *(F.col(c).alias(f"{c}_a") for c in ("key", "n", "level", "matches", "root")))
-    y = left.select("h", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "level", "matches", "root")))
+    sides = ("key", "n", "level", "matches", "root", "cluster")
+    x = left.select("h", *(F.col(c).alias(f"{c}_a") for c in sides))
+    y = left.select("h", *(F.col(c).alias(f"{c}_b") for c in sides))
     need = F.least("matches_a", "matches_b")
     pairs = (
         x.join(y, "h")
-        .where("root_a < root_b")
+        .where("root_a < root_b and cluster_a <> cluster_b")
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         .where((F.col("level_a") <= need) & (F.col("level_b") <= need))
         .groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
@@ -431,29 +531,26 @@ def near_duplicates(
     )
     second = kept_table(verified(pairs, sets, percent).distinct(), "other-links")
 
-    links = first.union(second)
+    third = kept_table(
+        within_clusters(placed.select("key", "root", "cluster").distinct(), sets, percent),
+        "cluster-links",
+    )
+
+    links = first.union(second).union(third)
     found = components(links).join(nodes, "key")
     least = found.groupBy("root").agg(F.min("rep").alias("component_id"))
-    degree = (
-        links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n_links"))
-    )
     classes = kept_table(
-        nodes.join(found.select("key", "root").join(least, "root"), "key", "left")
-        .join(degree, "key", "left")
-        .select(
-            "key",
-            F.coalesce("component_id", "rep").alias("component_id"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        nodes.join(found.select("key", "root").join(least, "root"), "key", "left").select(
+            "key", F.coalesce("component_id", "rep").alias("component_id")
         ),
         "classes",
     )
     whole = own.where("key is not null").join(classes, "key")
     empty = own.where("key is null").select(
-        "key", "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
+        "key", "doc_id", "n", F.col("doc_id").alias("component_id")
     )
     return whole.unionByName(empty).select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links"
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id"
     )
 
 
