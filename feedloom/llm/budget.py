@@ -190,7 +190,9 @@ def cutoffs(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
         plan.join(ends, _same(list(LEVELS), names), "left")
         .select(
             *LEVELS, "available", "budget", "full",
-            F.coalesce("cut_hash", F.lit(LAST)).alias("cut_hash"),
+            # A rest of nothing begins no further epoch, not even for texts without tokens.
+            F.when(F.col("_left") == 0, -1).otherwise(F.coalesce("cut_hash", F.lit(LAST)))
+            .alias("cut_hash"),
             F.coalesce("cut_id", F.lit(LAST)).alias("cut_id"),
         )
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +69,7 @@ class WordTable:
     ``most`` words, so memory is bounded whatever the corpus; results never depend on it.
     """
 
-    def __init__(self, encode: Callable[[list], Iterable[Sequence[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list], Iterable[Sequence[int]]], most: int = 600_000):
         self.encode, self.most = encode, most
         self._clear()
 
@@ -85,10 +86,11 @@ class WordTable:
             new = set(words)
         if new:
             new = list(new)
-            encoded = [np.asarray(x, np.int32) for x in self.encode(new)]
+            encoded = list(self.encode(new))
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
             sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            self.flat = np.concatenate([self.flat, *encoded])
+            more = np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))
+            self.flat = np.concatenate([self.flat, more])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
@@ -143,6 +145,19 @@ def rank_encoding(name: str, folder: str = TOKENIZERS):
     return per_worker((name, folder), load)
 
 
+def encode_apart(encoding, units: list[str], line_end: int) -> list[list[int]]:
+    """Ids of each unit by itself, in one call: a line end between two units is its own token.
+
+    Units that hold or touch other white space can join with the line end; if so the ends do not
+    come out in number, and the units are encoded one by one.
+    """
+    ids = encoding.encode_ordinary("\n".join(units))
+    ends = [k for k, x in enumerate(ids) if x == line_end]
+    if len(ends) != len(units) - 1 or any("\n" in unit for unit in units):
+        return [encoding.encode_ordinary(unit) for unit in units]
+    return [ids[a + 1 : b] for a, b in zip([-1, *ends], [*ends, len(ids)])]
+
+
 #: Fixed value: the word pattern of the public byte-level BPE vocabularies.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

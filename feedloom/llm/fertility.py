@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import (
     TOKENIZERS,
     WordTable,
+    encode_apart,
     free_name,
     kept_table,
     per_worker,
@@ -55,13 +56,15 @@ class Fertility:
     def __init__(self, folder: str):
         self.sp = sentence_pieces(folder)
         self.ranks = rank_encoding("byte_bpe_multi_50k.tiktoken", folder)
+        [self.end] = self.ranks.encode_ordinary("\n")
         self.low, self.high = _fallback_ids(self.sp)
         self.table = WordTable(self._tokenise)
         self.n_ranks = np.zeros(0, np.int64)
 
     def _tokenise(self, words: list[bytes]):
         decoded = [utf8(word) for word in words]
-        sizes = [len(self.ranks.encode_ordinary(" " + word)) for word in decoded]
+        spaced = [" " + word for word in decoded]
+        sizes = [len(ids) for ids in encode_apart(self.ranks, spaced, self.end)]
         self.n_ranks = np.concatenate(
             [self.n_ranks[: len(self.table.index)], np.array(sizes, np.int64)]
         )

@@ -93,7 +93,7 @@ class Lattice:
 def best_two(pieces: Pieces, edges: dict, text: str) -> tuple[list[int], float, float]:
     """Ids and score of the best path of a prepared unit, and what its second path loses."""
     n, none = len(text), -math.inf
-    ids, unknown = pieces.ids, pieces.unknown
+    ids, unknown, edge = pieces.ids, pieces.unknown, edges.get
     best = [none] * (n + 1)
     best[0] = 0.0
     back: list = [None] * (n + 1)
@@ -103,9 +103,9 @@ def best_two(pieces: Pieces, edges: dict, text: str) -> tuple[list[int], float,
         j, own = i + 1, False
         while j <= n:
             part = text[i:j]
-            if part not in edges:
+            score = edge(part, best)
+            if score is best:  # Begins no piece.
                 break
-            score = edges[part]
             if score is not None:
                 if j == i + 1:
                     own = True

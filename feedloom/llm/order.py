@@ -8,7 +8,6 @@ reads sequentially and resumes at any slot.
 
 from __future__ import annotations
 
-import re
 import struct
 from collections.abc import Iterator
 
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import (
     TOKENIZERS,
     WordTable,
+    encode_apart,
     per_worker,
     rank_encoding,
     slices,
@@ -34,8 +34,12 @@ END_OF_TEXT = 50256  # Free in the rank file; ends every document and fills its
 SEQUENCE, SHARD_ROWS, ROUNDS = 512, 16_384, 6
 HEAD = struct.Struct("<qii")  # doc_id, part of the document, tokens that are not filling.
 BYTES_A_SLICE = 1 << 20
-#: White space beside a space or line end: there the word pattern looks over unit boundaries.
-JOINED = re.compile(r"\s[ \n]|[ \n]\s|\x00")
+#: Pairs of blanks, other white space, and the mark of first words.
+PAIRS = ("  ", " \n", "\n ", "\n\n")
+OTHERS = (
+    "\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,26 +71,36 @@ def permuted(places: np.ndarray, size: int, key: int, rounds: int = ROUNDS) -> n
     return out.astype(np.int64)
 
 
+def joined(text: str) -> bool:
+    """Whether blanks may stand side by side: there the word pattern looks over unit boundaries."""
+    return any(pair in text for pair in PAIRS) or any(blank in text for blank in OTHERS)
+
+
 class Tokens:
     """Exact byte-level BPE of texts; a unit (a word with its space) is encoded once per worker."""
 
     def __init__(self, folder: str):
         self.encoding = rank_encoding(RANKS, folder)
+        [self.end] = self.encoding.encode_ordinary("\n")
         self.table = WordTable(self._encode)
 
     def _encode(self, units: list[str]) -> list[list[int]]:
-        plain = self.encoding.encode_ordinary
-        return [
-            plain(u[1:]) if u[:1] == "\x00" else plain(u if u[:1] == "\n" else " " + u)
-            for u in units
-        ]
+        """First words (marked by a zero) as they are, words that begin lines after it, others
+        after their space."""
+        plain, out = self.encoding.encode_ordinary, {}
+        spaced = [u for u in units if u[:1] not in ("\x00", "\n")]
+        out.update(zip(spaced, encode_apart(self.encoding, [" " + u for u in spaced], self.end)))
+        for u in units:
+            if u not in out:
+                out[u] = plain(u[1:] if u[0] == "\x00" else u)
+        return [out[u] for u in units]
 
     def encode(self, docs: list[str]) -> list[np.ndarray]:
         """Ids of every text, END_OF_TEXT last."""
         units: list[list[str]] = []
         whole: dict[int, list[int]] = {}
         for k, text in enumerate(docs):
-            if JOINED.search(text):
+            if joined(text):
                 whole[k] = self.encoding.encode_ordinary(text)
                 units.append([])
             elif text:
@@ -204,11 +218,10 @@ def write_order(
     )
     counts = (
         rows.mapInArrow(_count(tokenizers, length), "part long, n long, seen string")
-        .orderBy("part")
         .collect()  # One small row per input partition.
     )
     offsets, size = {}, 0
-    for row in counts:
+    for row in sorted(counts):
         offsets[row.part] = (size, row.seen)
         size += row.n
     path = path or shared_dir(spark, "training-order")
