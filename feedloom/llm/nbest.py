@@ -151,7 +151,7 @@ class Encoder:
     def __init__(self, pieces: Pieces, n_best: int):
         self.pieces, self.n_best = pieces, n_best
         self.edges = pieces.edges(pieces.scores)
-        self.table = WordTable(self._segment)
+        self.table = WordTable(self._segment, 600_000)
         self.scores = np.zeros(0)
         self.losses = np.zeros(0)
 
