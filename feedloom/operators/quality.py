@@ -52,6 +52,7 @@ def fatal_reason(component: Column, event_type: Column, severity: Column,
         .when(event_type.rlike("^(data|tbt)_(disconnect_timeout|reconnect_exhausted)$"),
               event_type)
         .when(event_type.isin("stream_readiness_timeout", "first_event_timeout"), event_type)
+        .when(event_type.rlike("^(data|tbt)_callback_failure$"), event_type)
         .when((event_type == "socket_shutdown") & (severity == "ERROR"),
               F.lit("socket_shutdown_failure"))
     )

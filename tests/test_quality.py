@@ -31,6 +31,7 @@ READY = ("r", 1, "process", "streams_ready", "INFO", 0, "{}")
         (("tbt", "server_error", "ERROR", 1, "{}"), "tbt_server_error", "tbt_server_error"),
         (("data", "disconnect_detected", "WARNING", 1, "{}"), "data_connection_interrupted", None),
         (("data", "data_disconnect_timeout", "ERROR", 1, "{}"), None, "data_disconnect_timeout"),
+        (("tbt", "tbt_callback_failure", "ERROR", 1, "{}"), None, "tbt_callback_failure"),
         (("tbt", "tbt_reconnect_exhausted", "ERROR", 1, "{}"), None, "tbt_reconnect_exhausted"),
         (("tbt", "feed_stale_retry", "WARNING", 1, "{}"), "tbt_feed_stale", None),
         (("tbt", "feed_stale", "ERROR", 1, "{}"), "tbt_feed_stale", "tbt_feed_stale"),
