@@ -162,4 +162,19 @@ QUERIES = {
         pipeline,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # Five hex digits of the digest are four base32 digits.
+    "op9_warc_dictionary": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages
+        ), f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+        SELECT page_id,
+            octet_length(encode(p.h))::BIGINT AS payload_bytes,
+            list_aggregate(list_transform(range(32), lambda g: substr(
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((('0x' || substr(d, (5 * (g // 4) + 1)::INT, 5))::INT
+                    >> (15 - 5 * (g % 4))::INT) & 31), 1)), 'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM p JOIN f ON p.h = f.h""",
+}
