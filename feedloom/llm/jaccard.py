@@ -34,7 +34,7 @@ HASH_BITS = 48
 #: The frequency sketch: a fixed number of cells, each the largest frequency class of its hashes.
 CELL_BITS, COUNT_BITS = 26, 32
 HELD = 1 << 22  # Hashes a task gathers before it hands them on.
-BYTES_A_SLICE = 1 << 20
+BYTES_A_SLICE = 1 << 18
 #: Nodes of a block of a cluster, and shingles counted at a time.
 BLOCK, CHUNK = 256, 8192
 BASE = 0x9E3779B97F4A7C15
@@ -49,7 +49,7 @@ class Shingler:
 
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
-            n = max(n, 1 << 21)
+            n = max(n, 2 * BYTES_A_SLICE)
             step = np.full(n, (BASE | 1) & (2**64 - 1), np.uint64)
             back = np.full(n, pow(BASE | 1, -1, 2**64), np.uint64)
             step[0] = back[0] = 1
@@ -142,7 +142,8 @@ def _gather(ranges: int):
         held, size, seen = [], 0, Seen()
 
         def handed_on():
-            hashes = np.sort((np.concatenate(held) >> np.uint64(HASH_BITS - COUNT_BITS)).astype(np.uint32))
+            hashes = np.concatenate(held)
+            hashes.sort()
             cuts = np.searchsorted(hashes, np.arange(ranges, dtype=np.int64) * width)
             cuts = np.append(cuts, len(hashes))
             some = [r for r in range(ranges) if cuts[r] < cuts[r + 1]]
@@ -158,7 +159,7 @@ def _gather(ranges: int):
         for batch in batches:
             for _, hashes in _sets(texts(batch["text"])):
                 if len(hashes) and seen.new(set_key(hashes)):
-                    held.append(hashes)
+                    held.append((hashes >> np.uint64(HASH_BITS - COUNT_BITS)).astype(np.uint32))
                     size += len(hashes)
                     if size >= HELD:
                         yield handed_on()
