@@ -69,7 +69,7 @@ class WordTable:
     ``most`` words, so memory is bounded whatever the corpus; results never depend on it.
     """
 
-    def __init__(self, encode: Callable[[list], Iterable[Sequence[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list], Iterable[Sequence[int]]], most: int = 300_000):
         self.encode, self.most = encode, most
         self._clear()
 
@@ -110,8 +110,19 @@ class WordTable:
 _LOADED: dict = {}
 
 
-def per_worker(key: tuple, make: Callable):
-    """What ``make`` gives, made once per Python worker and key."""
+_ALONE: list = []
+
+
+def per_worker(key: tuple, make: Callable, *, alone: bool = False):
+    """What ``make`` gives, made once per Python worker and key.
+
+    Workers outlive stages. Of the things that may grow large (``alone``) a worker holds one, so
+    the word table of one operator does not stay while another operator fills its own.
+    """
+    if alone and key not in _ALONE:
+        for other in _ALONE:
+            _LOADED.pop(other, None)
+        _ALONE[:] = [key]
     if key not in _LOADED:
         _LOADED[key] = make()
     return _LOADED[key]

@@ -123,7 +123,7 @@ def repeated_words(words: np.ndarray) -> int:
 
 def _measure(folder: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fertility = per_worker(("fertility", folder), lambda: Fertility(folder))
+        fertility = per_worker(("fertility", folder), lambda: Fertility(folder), alone=True)
         kinds = [(c, pa.int64()) for c in COUNTS] + [("entropy", pa.float64())]
         for batch in batches:
             raws = texts(batch["text"])

@@ -85,7 +85,7 @@ def set_key(hashes: np.ndarray) -> int:
 
 
 def _sets(raws: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-    shingler = per_worker(("shingler",), Shingler)
+    shingler = per_worker(("shingler",), Shingler, alone=True)
     for first, last in slices([len(raw) for raw in raws], BYTES_A_SLICE):
         yield from enumerate(shingler.sets(raws[first:last]), first)
 

@@ -247,7 +247,7 @@ def decode_ids(pieces: Pieces, ids) -> str:
 def _encode(folder: str, n_best: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load_pieces(folder)
-        encoder = per_worker(("n-best", folder, n_best), lambda: Encoder(pieces, n_best))
+        encoder = per_worker(("n-best", folder, n_best), lambda: Encoder(pieces, n_best), alone=True)
         for batch in batches:
             docs = strings(batch["text"])
             for first, last in slices([len(text) for text in docs], BYTES_A_SLICE):

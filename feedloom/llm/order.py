@@ -120,7 +120,7 @@ class Tokens:
 
 
 def _tokens(folder: str) -> Tokens:
-    return per_worker(("tokens", folder), lambda: Tokens(folder))
+    return per_worker(("tokens", folder), lambda: Tokens(folder), alone=True)
 
 
 def _encoded(batches, folder: str) -> Iterator[tuple[list, list[np.ndarray]]]:
