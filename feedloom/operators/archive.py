@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,10 @@ from feedloom.sources import lake
 def finalized_dates(parts: DataFrame, path: str = "path") -> DataFrame:
     """Distinct dates that parts (paths relative to the data folder) were written to.
 
-    A path that does not start with a compact date is an error.
+    A path that does not start with a compact date is an error, and so is no path at all.
     """
+    if parts.isEmpty():
+        raise ValueError("no finished parts")
     head = F.element_at(F.split(F.col(path), "/"), 1)
     refused = F.raise_error(
         F.concat(F.lit("invalid trading-date partition: "), head)
@@ -157,12 +161,17 @@ def archive_dates(
 
     All dates go through one job, range-partitioned by date and id, so a heavy date is spread
     over tasks. Returns one record per asked date; a date fails on its own (malformed, empty,
-    changed while being archived, or copied wrongly) and the others still proceed.
+    with unfinished files, changed while being archived, or copied wrongly) and the others still
+    proceed. Each date replaces its own earlier copy only; other dates of ``destination`` stay.
     """
     shared_root(spark)
     named = F.col("trading_date")
     asked = dates.select("trading_date").distinct()
     valid = asked.where(clock.is_calendar_date(F.replace(named, F.lit("-"), F.lit(""))))
+    open_parts = lake.unfinished_parts(spark, lake.stream_path(root, stream))
+    still_open = {m[1] for path in open_parts if (m := re.search("/trading_date=([^/]+)/", path))}
+    if still_open:
+        valid = valid.where(~named.isin(sorted(still_open)))
     # Fixed before anything is copied: this is what the state afterwards is held against.
     before = _date_files(spark, root, stream).checkpoint()
     rows = lake.scan_parts(spark, root, stream).join(
@@ -171,14 +180,17 @@ def archive_dates(
     (
         rows.repartitionByRange("trading_date", "run_id", "event_id")
         .sortWithinPartitions("trading_date", "run_id", "event_id")
-        .write.mode("errorifexists")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("trading_date")
         .parquet(lake.stream_path(destination, stream))
     )
     after = _date_files(spark, root, stream).select(
         "trading_date", F.col("source_fingerprint").alias("_after")
     )
-    copied = lake.scan_parts(spark, destination, stream)
+    copied = lake.scan_parts(spark, destination, stream).join(
+        sized_broadcast(valid), "trading_date", "left_semi"
+    )
     compared = compare_tables(table_digest(rows), table_digest(copied)).withColumnRenamed(
         "upload_status", "_compared"
     )

@@ -188,11 +188,7 @@ def stale_attempts(
 
     keys = ["run_id", "connection_key"]
     # Few bytes but much work per row: a set number of partitions keeps AQE from merging them.
-    session = stale.sparkSession
-    width = min(
-        int(session.conf.get("spark.sql.shuffle.partitions")),
-        2 * session.sparkContext.defaultParallelism,
-    )
+    width = int(stale.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         stale.select(*keys, "stale_at_ns", "silent_until_ns")
         .join(last_seen.select(*keys, "oldest_last_ns"), keys, "left")
@@ -231,10 +227,11 @@ def outages(
     """Spans from the loss of an open connection to its next opening, or to the run's end.
 
     ``control`` carries ``connection_key``; ``runs`` has ``run_id, ended_at_ns``. Further close
-    rows within an outage do not start another. An outage of at least the grace period is fatal.
+    rows within an outage do not start another. A stale retry closes the connection itself, so it
+    starts an outage as well. An outage of at least the grace period is fatal.
     """
     keys = ("run_id", "connection_key")
-    turns = control.where(F.col("event_type").isin("socket_open", "socket_close")).select(
+    turns = control.where(F.col("event_type").isin("socket_open", "socket_close", "feed_stale_retry")).select(
         *keys, "component", "event_id", "event_type", "received_at_unix_ns"
     )
     opened = F.when(F.col("event_type") == "socket_open", F.col("received_at_unix_ns"))
@@ -242,14 +239,14 @@ def outages(
         turns, keys, "event_id", {"_was_open": Running(F.col("event_type") == "socket_open")},
         chunk_rows=chunk_rows,
     )
-    # Only transitions matter from here: the first close after an open, and opens.
+    # Only transitions matter from here: the first loss after an open, and opens.
     changes = with_previous.where(
         (F.col("event_type") == "socket_open") | F.col("_was_open")
     )
     spans = running(
         changes, keys, "event_id", {"up_at_ns": Running(opened)}, forward=False,
         chunk_rows=chunk_rows,
-    ).where(F.col("event_type") == "socket_close")
+    ).where(F.col("event_type") != "socket_open")
     length = F.coalesce("up_at_ns", "ended_at_ns") - F.col("down_at_ns")
     timed_out = F.col("outage_ns") >= F.lit(grace_seconds * _NS)
     return (

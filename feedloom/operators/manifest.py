@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.functions.redact import redacted_settings
 from feedloom.operators import quality
+from feedloom.sources import lake
 
 
 def _per_stream(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -90,7 +91,14 @@ def manifests(
 
 
 def write_manifests(rows: DataFrame, root: str) -> None:
-    """Store manifests as one JSON object per run below ``_runs``; a run is never replaced."""
+    """Store manifests as one JSON object per run below ``_runs``.
+
+    A run that has a manifest keeps it: writing the run again adds nothing.
+    """
+    spark = rows.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_runs")
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        rows = rows.join(lake.scan_manifests(spark, root).select("run_id"), "run_id", "left_anti")
     (
         rows.withColumn("run", F.col("run_id"))
         .repartition("run")

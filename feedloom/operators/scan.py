@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 CHUNK_ROWS = 1 << 20
 _CHUNK = "_chunk"
+_KEY = "_key"
 
 
 @dataclass(frozen=True)
@@ -78,34 +79,36 @@ def running(
 ) -> DataFrame:
     """Add, per row, each running value over the rows of the same key strictly before it.
 
-    ``forward=False`` looks at the rows strictly after it instead. ``keys`` and ``order`` must
-    not be null, and ``order`` must be unique within a key. ``seed`` holds one row per key with
+    ``forward=False`` looks at the rows strictly after it instead. Rows whose key is null form a
+    key of their own. ``order`` must not be null and must be unique within a key. ``seed`` holds one row per key with
     columns named like ``values``: what is known before the first row (streaming state).
     """
     keys = list(keys)
     inputs = {f"_in_{name}": spec for name, spec in values.items()}
     cut = F.call_function("div", F.col(order), F.lit(chunk_rows))
+    # A struct is never null itself: it groups and joins rows of a null key like any others.
+    key = F.struct(*keys)
     tagged = rows.withColumns(
-        {_CHUNK: cut, **{f"_in_{name}": spec.value for name, spec in values.items()}}
+        {_KEY: key, _CHUNK: cut, **{f"_in_{name}": spec.value for name, spec in values.items()}}
     )
 
     chunk_order = F.col(_CHUNK) if forward else F.col(_CHUNK).desc()
     earlier_chunks = (
-        Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(_KEY).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
     )
     fields = {
         name: tagged.schema[name].dataType.fieldNames()
         for name in inputs
         if isinstance(tagged.schema[name].dataType, T.StructType)
     }
-    summaries = tagged.groupBy(*keys, _CHUNK).agg(
+    summaries = tagged.groupBy(_KEY, _CHUNK).agg(
         *[
             spec.summary(name, order, forward, fields.get(name, ())).alias(name)
             for name, spec in inputs.items()
         ]
     )
     carried = summaries.select(
-        *keys,
+        _KEY,
         _CHUNK,
         *[
             spec.over(f"_in_{name}", earlier_chunks).alias(f"_carry_{name}")
@@ -113,9 +116,9 @@ def running(
         ],
     )
     if seed is not None:
-        seeds = seed.select(*keys, *[F.col(name).alias(f"_seed_{name}") for name in values])
-        carried = carried.join(seeds, keys, "left").select(
-            *keys,
+        seeds = seed.select(key.alias(_KEY), *[F.col(name).alias(f"_seed_{name}") for name in values])
+        carried = carried.join(seeds, _KEY, "left").select(
+            _KEY,
             _CHUNK,
             *[
                 spec.combine(F.col(f"_seed_{name}"), F.col(f"_carry_{name}")).alias(
@@ -127,7 +130,7 @@ def running(
 
     row_order = F.col(order) if forward else F.col(order).desc()
     earlier_rows = (
-        Window.partitionBy(*keys, _CHUNK)
+        Window.partitionBy(_KEY, _CHUNK)
         .orderBy(row_order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -138,7 +141,7 @@ def running(
             for name, spec in values.items()
         ],
     )
-    joined = local.join(carried, [*keys, _CHUNK], "left")
+    joined = local.join(carried, [_KEY, _CHUNK], "left")
     return joined.select(
         *rows.columns,
         *[

@@ -131,14 +131,19 @@ def part_stats(parts: DataFrame) -> DataFrame:
 
 
 def unfinished_parts(spark: SparkSession, root: str) -> list[str]:
-    """Unfinished files one or two levels below ``root``.
+    """Unfinished files at any depth below ``root``; none if it does not exist.
 
-    Spark's readers skip dot-files, so the file system is asked for exactly those names.
+    Spark's readers skip dot-files, so the file system is walked. Only unfinished names are held:
+    at most one for every writer that was at work.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
     found: list[str] = []
-    for level in ("*", "*/*", "*/*/*"):
-        pattern = hadoop.Path(f"{root.rstrip('/')}/{level}{UNFINISHED}")
-        system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found += [status.getPath().toString() for status in system.globStatus(pattern) or []]
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().endswith(UNFINISHED):
+            found.append(path.toString())
     return sorted(found)

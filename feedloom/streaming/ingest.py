@@ -59,16 +59,23 @@ def record_quotes(
     checkpoint: str,
     *,
     secrets: tuple[str, ...] = (),
+    lifecycle: DataFrame | None = None,
     flush_seconds: int | None = 60,
 ) -> list[StreamingQuery]:
-    """Start recording quote messages: one query per target stream, each exactly-once."""
+    """Start recording quote messages: one query per target stream, each exactly-once.
+
+    ``lifecycle`` messages of the same run go to the control stream too, in the same query.
+    """
+    control = quote_control(arrived, configured, secrets)
+    if lifecycle is not None:
+        control = control.unionByName(lifecycle_control(lifecycle, secrets))
     return [
         append_stream(
             quote_rows(arrived, configured), root, schemas.SYMBOL_UPDATE, checkpoint,
             flush_seconds=flush_seconds,
         ),
         append_stream(
-            quote_control(arrived, configured, secrets), root, schemas.CONTROL,
+            control, root, schemas.CONTROL,
             f"{checkpoint}/quotes", flush_seconds=flush_seconds,
         ),
     ]

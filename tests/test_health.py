@@ -38,6 +38,13 @@ def test_open_outage_lasts_to_the_end_and_needs_an_open_first(spark):
     ]
 
 
+def test_stale_retry_starts_an_outage(spark):
+    rows = outage_rows(
+        spark, ("socket_open", 0), ("feed_stale_retry", 1), ("socket_close", 2), ("socket_open", 41)
+    )
+    assert [(r["down_at_ns"], r["outage_ns"], r["timed_out"]) for r in rows] == [(1 * S, 40 * S, True)]
+
+
 def simulate(symbols, events, timeout, retries, ended):
     """Continuous polling of one connection from readiness at 0, in whole seconds."""
     last = {s: 0 for s in symbols}

@@ -43,7 +43,11 @@ def test_dated_layout_with_unsigned_and_fixed_size_columns(spark, tmp_path):
     rows = lake.scan_dated_parts(spark, str(tmp_path), schemas.TBT_DEPTH).orderBy("event_id").collect()
     assert [int(r["sequence_no"]) for r in rows] == [9007199254740993, 2**64 - 1]
     assert rows[0]["bid_prices"][49] == 49.0 and rows[0]["raw_json"] is None
-    assert len(lake.unfinished_parts(spark, str(tmp_path))) == 1
+    (tmp_path / "a" / "b" / "c" / "d").mkdir(parents=True)
+    for place in (tmp_path, tmp_path / "a" / "b" / "c" / "d"):
+        (place / ".part-3.parquet.inprogress").write_bytes(b"")
+    assert len(lake.unfinished_parts(spark, str(tmp_path))) == 3
+    assert lake.unfinished_parts(spark, str(tmp_path / "absent")) == []
 
 
 @pytest.mark.parametrize("codec", ["zstd", "snappy", "gzip", "lz4", "none"])
@@ -89,6 +93,8 @@ def test_finalized_dates(spark):
         paths("20260718/tbtdepth/p2", "20260717/control/p1", "20260718/symbolupdate/p3")
     ).collect()
     assert sorted(r["trading_date"] for r in rows) == ["20260717", "20260718"]
+    with pytest.raises(ValueError, match="no finished parts"):
+        archive.finalized_dates(paths("x").limit(0))
     with pytest.raises(Exception, match="invalid trading-date"):
         archive.finalized_dates(paths("_runs/run/manifest.json")).collect()
 
@@ -176,6 +182,30 @@ def test_archive_keeps_rows_and_repeats(spark, tmp_path):
     assert stored.select("trading_date").distinct().count() == 1
 
 
+def test_dates_are_archived_one_after_another(spark, tmp_path):
+    root, copy = str(tmp_path / "lake"), str(tmp_path / "copy")
+    sinks.append_batch(quotes(spark), root, schemas.SYMBOL_UPDATE)
+    stored = lake.scan_parts(spark, root, schemas.SYMBOL_UPDATE)
+    days = sorted(r["trading_date"] for r in stored.select("trading_date").distinct().collect())
+
+    def archived(*asked):
+        dates = spark.createDataFrame([(d,) for d in asked], "trading_date string")
+        found = archive.archive_dates(spark, root, schemas.SYMBOL_UPDATE, copy, dates).collect()
+        return {r["trading_date"]: r["upload_status"] for r in found}
+
+    extra = stored.where(F.col("trading_date") == days[0]).withColumn("trading_date", F.lit("2026-07-20"))
+    sinks.append_batch(extra, root, schemas.SYMBOL_UPDATE)
+    assert archived(days[0]) == {days[0]: "verified"}
+    folder = next((tmp_path / "lake").rglob("trading_date=2026-07-20"))
+    unfinished = folder / ".part-9.parquet.inprogress"
+    unfinished.write_bytes(b"")
+    assert archived(days[0], "2026-07-20") == {days[0]: "verified", "2026-07-20": "archive_failed"}
+    unfinished.unlink()
+    assert archived("2026-07-20") == {"2026-07-20": "verified"}
+    dates = lake.scan_parts(spark, copy, schemas.SYMBOL_UPDATE).groupBy("trading_date").count()
+    assert {r["trading_date"] for r in dates.collect()} == {days[0], "2026-07-20"}
+
+
 def test_row_digest_counts_repeats(spark):
     one = spark.createDataFrame([("d", 1), ("d", 2)], "trading_date string, v int")
     twice = one.unionByName(one).unionByName(one)
