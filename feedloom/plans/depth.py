@@ -161,8 +161,9 @@ def footprint(spark, sf):
 def asof_depth(spark, sf):
     quotes = _trades(spark, sf).select("run_id", "event_id", "symbol", "ltp")
     message = F.col("message")
-    # Only the best level takes part, so only that is read and coerced.
-    best = books(spark, sf, levels=1).select(
+    # Books of the wrong length are refused; of the others only the best level is coerced.
+    whole, _ = normalize.split_books(books(spark, sf))
+    best = whole.select(
         "run_id", "event_id", F.col("ticker").alias("symbol"),
         *[
             cast(F.slice(message[name], 1, 1)).alias(stored)
@@ -312,7 +313,7 @@ SELECT run_id, event_id, symbol, last_traded_qty, volume_traded_today, previous_
   SELECT run_id, event_id, upper(symbol) AS folded, symbol, ltp, NULL AS depth_event_id,
          NULL AS cents, NULL AS k FROM quotes WHERE symbol IS NOT NULL
   UNION ALL
-  SELECT run_id, event_id, upper(symbol), NULL, NULL, event_id, cents, k FROM books),
+  SELECT run_id, event_id, upper(symbol), NULL, NULL, event_id, cents, k FROM books WHERE full_book),
 filled AS (
   SELECT *, last_value(depth_event_id IGNORE NULLS) OVER before AS latest_id,
          last_value(cents IGNORE NULLS) OVER before AS latest_cents,

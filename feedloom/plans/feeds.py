@@ -99,7 +99,8 @@ CONFIGURED_SQL = """configured AS (
 
 def configured_per_run(spark: SparkSession, sf: str) -> DataFrame:
     """Every run is configured with the whole universe."""
-    possible = F.array(*[F.lit(f"run-{span}") for span in range(4)])
+    # Days 1 to 31 of a month in spans of ten: every run that ``ticks`` can name.
+    possible = F.array(*[F.lit(f"run-{span}") for span in range((31 - 1) // 10 + 1)])
     return (
         configured(spark, sf)
         .select(F.explode(possible).alias("run_id"), "symbol_upper", "connection_key")
