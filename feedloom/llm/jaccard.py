@@ -209,16 +209,24 @@ def frequency_sketch(docs: DataFrame) -> dict[int, bytes]:
     return {row.part: bytes(row.cells) for row in cells.collect()} | {-1: ranges}
 
 
-def _spread(sketch: dict) -> np.ndarray:
-    ranges = sketch[-1]
-    cells = np.zeros(1 << CELL_BITS, np.uint8)
-    each = len(cells) // ranges
-    for part, blob in sketch.items():
-        if part >= 0:
-            cells[part * each : (part + 1) * each] = np.frombuffer(
-                zstandard.ZstdDecompressor().decompress(blob), np.uint8
-            )
-    return cells
+class Cells:
+    """The sketch in a worker: two classes a byte, the even cell in the low half."""
+
+    def __init__(self, sketch: dict):
+        ranges = sketch[-1]
+        each = (1 << CELL_BITS) // ranges
+        self.pairs = np.zeros(1 << CELL_BITS - 1, np.uint8)
+        for part, blob in sketch.items():
+            if part >= 0:
+                cells = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+                half = part * each // 2
+                self.pairs[half : half + each // 2] = cells[::2] | cells[1::2] << 4
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The frequency class of each hash."""
+        at = hashes >> np.uint64(HASH_BITS - CELL_BITS)
+        odd = (at & np.uint64(1)).astype(np.uint8)
+        return self.pairs[at >> np.uint64(1)] >> (odd << 2) & 15
 
 
 # --- Prefixes ------------------------------------------------------------------------------
@@ -254,8 +262,7 @@ def adaptive_prefix(
 
 def _post(sketch, percent: int):
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, seen = _spread(sketch.value), Seen()
-        shift = np.uint64(HASH_BITS - CELL_BITS)
+        cells, seen = Cells(sketch.value), Seen()
         for batch in batches:
             ids = batch["doc_id"]
             keys, sizes = [], []
@@ -266,7 +273,7 @@ def _post(sketch, percent: int):
                 keys.append(key)
                 sizes.append(n)
                 if n and seen.new(key):
-                    classes = cells[hashes >> shift]
+                    classes = cells.of(hashes)
                     found, levels, matches = adaptive_prefix(hashes, classes, percent)
                     own_h.append(found)
                     own_level.append(levels)
