@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Python workers hold whole batches of texts, on both sides of the pipe.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -31,7 +33,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on (UTC rendering) and those scale depends on (AQE)."""
+    """Apply the settings results depend on (UTC rendering) and those scale depends on (AQE, batches)."""
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
