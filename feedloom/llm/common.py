@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import shared_dir
+from feedloom.session import prepare, shared_dir
 
 #: Where the public tokenizer files are; every operator takes another folder as a parameter.
 TOKENIZERS = "/opt/tokenizers"
@@ -20,7 +20,7 @@ PIECES = "piece_bpe_32k.model"
 
 def kept_table(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` below the shared folder and read it back: lineage ends, executors may go."""
-    path = shared_dir(frame.sparkSession, name)
+    path = shared_dir(prepare(frame.sparkSession), name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
