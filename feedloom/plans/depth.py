@@ -13,6 +13,8 @@ from feedloom.plans.feeds import (
     depth_core, quote_messages, table, ticks, with_sql,
 )
 from feedloom.session import shared_dir
+from feedloom.sources import messages
+from feedloom.streaming import depth as live_depth
 
 
 def depth_length_check(spark, sf):
@@ -125,6 +127,43 @@ def sequence_events(spark, sf):
     )
 
 
+def record_depth(spark, sf):
+    """Depth messages through the live query, which is started again for each third of them.
+
+    Diagnosed rows, refused books and control rows as the lake then holds them. Thirds are cut by
+    id, so a symbol's state is carried from one start to the next.
+    """
+    landing, root, progress = (shared_dir(spark, n) for n in ("landing", "lake", "progress"))
+    epochs = depth_core(spark, sf).select("event_id", "connection_epoch")
+    stored_messages = shared_dir(spark, "messages")
+    books(spark, sf).drop("connection_epoch").join(epochs, "event_id").select(
+        *schemas.DEPTH_MESSAGES.fieldNames()
+    ).write.parquet(stored_messages)
+    rows = spark.read.schema(schemas.DEPTH_MESSAGES).parquet(stored_messages)
+    first, last = rows.agg(F.min("event_id"), F.max("event_id")).first()
+    first, last = first or 0, last or 0  # An empty table has no ids.
+    third = F.floor((F.col("event_id") - first) * 3 / (last - first + 1))
+    for part in range(3):
+        rows.where(third == part).write.mode("append").json(landing)
+        live_depth.record_depth(
+            messages.depth_messages(spark, landing), feeds.configured(spark, sf), root, progress,
+            flush_seconds=None,
+        ).awaitTermination()
+    stored, control, refused = (
+        live_depth.read_recorded(spark, root, stream) for stream in live_depth.TARGETS
+    )
+    decimals = ("previous_sequence_no", "sequence_no")
+    return (
+        stored.select("run_id", "event_id", F.lit("depth").alias("place"), "symbol",
+                      *(F.col(c).cast("bigint").alias(c) for c in decimals), "sequence_delta",
+                      F.col("sequence_status").alias("said"))
+        .unionByName(control.select("run_id", "event_id", F.lit("control").alias("place"), "symbol",
+                                    F.col("event_type").alias("said")), allowMissingColumns=True)
+        .unionByName(refused.select("run_id", "event_id", F.lit("refused").alias("place"),
+                                    F.col("ticker").alias("symbol")), allowMissingColumns=True)
+    )
+
+
 def lossy_symbols(spark, sf):
     """Which symbols lost data: rows per run, symbol and sequence status."""
     return _diagnosed(spark, sf).groupBy("run_id", "symbol", "sequence_status").agg(
@@ -213,13 +252,16 @@ def assign_event_id(spark, sf):
 
 
 DEPTH_VIEW = with_sql(TICKS_SQL, DEPTH_SQL)
-DIAGNOSED_SQL = f"""{DEPTH_SQL},
-previous AS (
+
+
+def diagnosed_sql(rows: str) -> str:
+    """The sequence diagnostics of the rows of a common table expression, as more of them."""
+    return f"""previous AS (
   SELECT *, last_value(sequence_no IGNORE NULLS) OVER (PARTITION BY run_id, symbol ORDER BY event_id
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_sequence_no,
     row_number() OVER (PARTITION BY run_id, connection_key, connection_epoch, symbol
       ORDER BY event_id) AS nth
-  FROM depth),
+  FROM {rows}),
 flagged AS (
   SELECT *, connection_epoch > 1 AND nth = 1 AND previous_sequence_no IS NOT NULL
       AS is_first_after_reconnect, sequence_no - previous_sequence_no AS sequence_delta
@@ -232,7 +274,18 @@ diagnosed AS (
   FROM (SELECT *, CASE WHEN sequence_delta = 1 THEN 'ok' WHEN sequence_delta = 0 THEN 'duplicate'
       WHEN sequence_delta > 1 THEN 'gap' WHEN is_snapshot THEN 'reset' ELSE 'regression' END AS base
     FROM flagged))"""
+
+
+DIAGNOSED_SQL = f"{DEPTH_SQL},\n{diagnosed_sql('depth')}"
 DIAGNOSED_VIEW = with_sql(TICKS_SQL, DIAGNOSED_SQL)
+RECORDED_VIEW = with_sql(
+    TICKS_SQL, CONFIGURED_SQL, DEPTH_SQL, BOOKS_SQL,
+    """arrived AS (
+  SELECT d.*, b.full_book, c.symbol_upper IS NOT NULL AS expected
+  FROM depth d JOIN books b USING (event_id) LEFT JOIN configured c ON upper(d.symbol) = c.symbol_upper)""",
+    "recorded AS (SELECT * FROM arrived WHERE expected AND full_book)",
+    diagnosed_sql("recorded"),
+)
 STATUS_SQL = DIAGNOSED_VIEW + """
 SELECT run_id, event_id, symbol, connection_epoch, sequence_no, previous_sequence_no, sequence_delta,
        sequence_status, is_first_after_reconnect FROM diagnosed"""
@@ -286,6 +339,18 @@ SELECT run_id, event_id, symbol,
          AS degraded_reason, sequence_delta,
        CASE WHEN is_first_after_reconnect THEN sequence_status END AS said_status
 FROM diagnosed
+WHERE is_first_after_reconnect OR base_status IN ('gap', 'duplicate', 'regression', 'reset')"""),
+    "record_depth": (record_depth, RECORDED_VIEW + """
+SELECT run_id, event_id, 'depth' AS place, symbol, previous_sequence_no, sequence_no, sequence_delta,
+       sequence_status AS said FROM diagnosed
+UNION ALL SELECT run_id, event_id, 'refused', symbol, NULL, NULL, NULL, NULL FROM arrived
+WHERE expected AND NOT full_book
+UNION ALL SELECT run_id, event_id, 'control', symbol, NULL, NULL, NULL,
+       CASE WHEN NOT expected THEN 'unexpected_symbol' ELSE 'tbt_callback_failure' END FROM arrived
+WHERE NOT (expected AND full_book)
+UNION ALL SELECT run_id, event_id, 'control', symbol, NULL, NULL, NULL,
+       CASE WHEN is_first_after_reconnect THEN 'sequence_after_reconnect'
+         ELSE 'sequence_' || base_status END FROM diagnosed
 WHERE is_first_after_reconnect OR base_status IN ('gap', 'duplicate', 'regression', 'reset')"""),
     "lossy_symbols": (lossy_symbols, DIAGNOSED_VIEW + """
 SELECT run_id, symbol, sequence_status, count(*) AS rows,

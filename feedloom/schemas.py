@@ -16,10 +16,15 @@ SEQUENCE_TYPE = T.DecimalType(20, 0)
 SYMBOL_UPDATE = "symbol_update"
 TBT_DEPTH = "tbt_depth"
 CONTROL = "control"
+# What the depth query writes beside its rows: its own control rows, and the books it refused.
+DEPTH_CONTROL = "depth_control"
+REFUSED_DEPTH = "refused_depth"
 STREAM_DIRECTORIES = {
     "control": "control",
     "symbol_update": "symbolupdate",
     "tbt_depth": "tbtdepth",
+    "depth_control": "controldepth",
+    "refused_depth": "refuseddepth",
 }
 
 
@@ -133,6 +138,7 @@ DEPTH_MESSAGES = T.StructType(
     + _optional("ticker channel", T.StringType())
     + [T.StructField("message", BOOK_MESSAGE, True)]
 )
+STREAMS |= {DEPTH_CONTROL: CONTROL_EVENTS, REFUSED_DEPTH: DEPTH_MESSAGES}
 LIFECYCLE_MESSAGES = T.StructType(
     ARRIVAL.fields + _optional("component kind payload", T.StringType())
 )
