@@ -2,7 +2,7 @@
 
 Two public vocabularies measure every text: characters per token of each, the share of byte
 fallbacks, and the entropy of the tokens. Per language, exact histograms over all texts give the
-5 %, 50 % and 95 % points of each measure; a text outside the band drawn from them is rejected.
+median and the quartiles of each measure; a text outside the band drawn from them is rejected.
 """
 
 from __future__ import annotations
@@ -35,9 +35,10 @@ SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
 #: Measures and how finely their histograms are kept.
 MEASURES = {"chars_a_piece": 500, "chars_a_rank": 500, "fallback_share": 1000, "entropy": 500}
-#: A band reaches this many times as far from the median as the 5 % and 95 % points, and never
-#: less than this share of the median, or this absolute width.
-REACH, LEAST_SHARE, LEAST_WIDTH = 2.5, 0.15, 0.05
+#: A band reaches this many quartile distances (p75 - p25) from the median, and never less than
+#: this share of the median, or this absolute width. Outer points would lie inside the junk itself
+#: where more than a few hundredths of a language are junk, so that they would let it pass.
+REACH, LEAST_SHARE, LEAST_WIDTH = 4.0, 0.09, 0.05
 MIN_WORDS, MOST_REPEATED_PERCENT = 50, 50
 COUNTS = (
     "n_words n_chars word_chars n_symbols n_dup_lines n_repeat_words n_pieces n_fallback n_ranks"
@@ -208,7 +209,7 @@ def bands(scored: DataFrame, lang_col: str, q) -> DataFrame:
     points = placed.groupBy("lang", "measure").agg(
         *(
             F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("cell"))).alias(f"p{p}")
-            for p in (5, 50, 95)
+            for p in (25, 50, 75)
         )
     )
     scale = reduce(
@@ -217,11 +218,13 @@ def bands(scored: DataFrame, lang_col: str, q) -> DataFrame:
         F.when(F.lit(False), F.lit(1.0)),
     )
     middle = F.col("p50") / scale
-    least = F.greatest(middle * LEAST_SHARE, F.lit(LEAST_WIDTH))
-    below = F.greatest((F.col("p50") - F.col("p5")) / scale * REACH, least)
-    above = F.greatest((F.col("p95") - F.col("p50")) / scale * REACH, least)
+    reach = F.greatest(
+        (F.col("p75") - F.col("p25")) / scale * REACH,
+        middle * LEAST_SHARE,
+        F.lit(LEAST_WIDTH),
+    )
     return (
-        points.select("lang", "measure", (middle - below).alias("low"), (middle + above).alias("high"))
+        points.select("lang", "measure", (middle - reach).alias("low"), (middle + reach).alias("high"))
         .groupBy("lang")
         .agg(
             *(

@@ -159,6 +159,24 @@ def test_bands_reject_the_odd_text(spark):
     assert all(v.kept or v.base_failed for k, v in verdicts.items() if k != 99)
 
 
+@pytest.mark.parametrize("percent", [8, 20])
+def test_bands_hold_where_much_of_a_language_is_junk(spark, percent):
+    random.seed(4)
+    parts = "the water and people other between country through little world after house".split()
+    rows = []
+    for k in range(300):
+        words = random.choices(parts, k=120 + k % 50)
+        if k % 100 < percent:
+            words = [w + random.choice(["#", "*$", "%&", "|<"]) if j % 2 else w for j, w in enumerate(words)]
+        rows.append((k, " ".join(words), "en"))
+    found, name = fertility.fertility_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"), ["doc_id"]
+    )
+    verdicts = {r.doc_id: r[name] for r in found.collect()}
+    assert not any(v.base_failed for v in verdicts.values())
+    assert {k for k, v in verdicts.items() if not v.kept} == {k for k in range(300) if k % 100 < percent}
+
+
 def test_permutation_is_one_to_one():
     for size in (1, 2, 3, 5, 64, 1000, 4097):
         slots = order.permuted(np.arange(size), size, 11)
