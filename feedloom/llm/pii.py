@@ -4,15 +4,19 @@ Base spans come from four patterns. The field works on the regions around digits
 (a text without either has no personal data and is not touched): a region is cut into atoms, any
 run of at most ``MOST_ATOMS`` atoms is a candidate segment of any kind, features of whole spans
 score it, and dynamic programming over boundaries and kinds jointly picks the best labelling.
-Its weights maximise the conditional likelihood of base spans in a bounded sample of regions.
+Its weights maximise the conditional likelihood of base spans in a bounded sample of regions, and
+of pairs of such spans set side by side: there the patterns run on from one into the next and drop
+both, so regions of the sample where that may have happened are not taken for examples.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +26,24 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import free_name, strings
 
 KINDS = ("email", "ip", "card", "phone")
-#: Bounds of the training sample: rows taken in the order of a hash, regions used of them.
-SAMPLE_ROWS, SAMPLE_REGIONS = 300, 240
+#: Bounds of the training sample: distinct passages of each probe taken in the order of a hash,
+#: regions used of them, and examples for each pair of neighbours.
+SAMPLE_ROWS, SAMPLE_REGIONS, SAMPLE_JOINS = 60, 240, 6
+#: What sampled passages are around: anything the field looks at, and the look of each kind.
+PROBES = (
+    "[0-9@]",
+    r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]++\.[A-Za-z0-9-]",
+    r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
+    "[0-9](?:[ -]?[0-9]){13}",
+    r"\+[0-9][ ().0-9-]{8}",
+)
+#: Characters of a sampled passage before the place that a probe found, and from there on.
+BEFORE, FROM = 100, 220
 #: A candidate segment has at most this many atoms and characters.
 MOST_ATOMS, MOST_CHARS = 16, 80
 #: An added span must be this sure, as a probability of the field.
 SURE = 0.9
-EPOCHS, RATE, SHRINK = 40, 0.5, 1e-3
+EPOCHS, RATE, SHRINK = 100, 1.0, 1e-4
 
 #: The patterns of the base spans.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -166,7 +181,7 @@ def features(text: str, start: int, end: int, atoms: int) -> list[int]:
 class Segments:
     """Candidate segments of a region, as atom boundaries and feature places."""
 
-    def __init__(self, text: str, start: int, end: int):
+    def __init__(self, text: str, start: int, end: int, taken=lambda a, b: False):
         cuts = [start + m.start() for m in ATOM.finditer(text[start:end])] + [end]
         self.cuts, self.n = cuts, len(cuts) - 1
         self.spans: list[tuple[int, int]] = []
@@ -179,6 +194,8 @@ class Segments:
                 # No kind begins or ends with a space, or lacks digits and at-sign alike.
                 if span[0] == " " or span[-1] == " " or not SIGNAL.search(span):
                     continue
+                if taken(cuts[i], cuts[j]):
+                    continue
                 self.spans.append((i, j))
                 self.places.append(features(text, cuts[i], cuts[j], j - i))
 
@@ -234,28 +251,94 @@ def best_labels(n: int, spans, scores: np.ndarray) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def overruns(text: str) -> list[tuple[int, int]]:
+    """Matches that the patterns drop although they may hold personal data: joined neighbours."""
+    out = []
+    for m in CARD.finditer(text):
+        digits = _digits(m.group())
+        if len(digits) > 19 or (
+            len(digits) >= 14
+            and not luhn(digits)
+            and any(len(g) >= 14 and luhn(g) for g in re.findall("[0-9]+", m.group()))
+        ):
+            out.append(m.span())
+    out += [m.span() for m in PHONE.finditer(text) if len(_digits(m.group())) > 15]
+    return out
+
+
+def _spellings(text: str, kind: int) -> list[str]:
+    """Other ways to write a true span that the patterns take for the same kind."""
+    other = []
+    if kind == 2:
+        digits = _digits(text)
+        groups = [digits[k : k + 4] for k in range(0, len(digits), 4)]
+        other = [" ".join(groups), "-".join(groups)]
+    elif kind == 3:
+        other = [re.sub("[()]", "", text), "+4" + re.sub("[()]", "", text[1:])]
+    return [x for x in other if x != text and (0, kind, len(x)) in base_spans(x)]
+
+
+def joins(found: dict[int, list[str]], plain: list[str]) -> Iterator[tuple[str, list]]:
+    """Texts of true spans standing side by side, or beside a plain number, with their spans.
+
+    ``found`` has texts of true spans by kind and ``plain`` words with digits that are none. A
+    card with a digit changed is a number like others, alone and beside a true span.
+    """
+    pick = random.Random(7)
+    none = len(KINDS)
+    words, plain = {k: v + [x for text in v for x in _spellings(text, k)] for k, v in found.items()}, list(plain)
+    for card in found.get(2, [])[:SAMPLE_JOINS]:
+        plain.append(card[:-1] + str((int(card[-1]) + 1) % 10))
+    if plain:
+        words[none] = plain
+    for first in words:
+        for second in words:
+            for _ in range(SAMPLE_JOINS):
+                a, b = pick.choice(words[first]), pick.choice(words[second])
+                spans = [(0, first, len(a)), (len(a) + 1, second, len(a) + 1 + len(b))]
+                yield f"{a} {b}", [s for s in spans if s[1] != none]
+
+
+def _case(text: str, start: int, end: int, gold):
+    """Candidates of a region, their features, and which of them are true; None without any."""
+    segments = Segments(text, start, end)
+    if not segments.spans:
+        return None
+    where = {(segments.cuts[i], segments.cuts[j]): k for k, (i, j) in enumerate(segments.spans)}
+    truth, done = [], -1
+    for a, kind, b in gold:
+        if (a, b) in where and a >= done:
+            truth.append((where[a, b], kind))
+            done = b
+    matrix = np.zeros((len(segments.spans), len(FEATURES)))
+    for row, places in zip(matrix, segments.places):
+        row[places] = 1
+    return segments, matrix, truth
+
+
 def fit(sample: list[str]) -> np.ndarray:
     """Weights by kind and feature: gradient ascent on the conditional log-likelihood."""
-    cases = []
+    cases, plain = [], []
+    found: dict[int, list[str]] = {}
     for text in sample:
-        gold = base_spans(text)
+        gold, dropped = base_spans(text), overruns(text)
+        for a, kind, b in gold:
+            if b - a <= MOST_CHARS and not any(a < y and x < b for x, y in dropped):
+                found.setdefault(kind, []).append(text[a:b])
         for start, end in regions(text):
             if len(cases) == SAMPLE_REGIONS:
                 break
-            if end - start > 200:
+            if end - start > 200 or any(start < b and a < end for a, b in dropped):
                 continue
-            segments = Segments(text, start, end)
-            where = {(segments.cuts[i], segments.cuts[j]): k for k, (i, j) in enumerate(segments.spans)}
-            truth, done = [], -1
-            for a, kind, b in gold:
-                if (a, b) in where and a >= done:
-                    truth.append((where[a, b], kind))
-                    done = b
-            if segments.spans:
-                matrix = np.zeros((len(segments.spans), len(FEATURES)))
-                for row, places in zip(matrix, segments.places):
-                    row[places] = 1
-                cases.append((segments, matrix, truth))
+            case = _case(text, start, end, gold)
+            if case:
+                cases.append(case)
+                if not case[2] and " " not in text[start:end]:
+                    plain.append(text[start:end])
+    for text, gold in joins({k: found[k] for k in sorted(found)}, plain):
+        case = _case(text, 0, len(text), gold)
+        if case and len(case[2]) == len(gold):
+            cases.append(case)
     weights = np.zeros((len(KINDS), len(FEATURES)))
     weights[:, PLACE["bias"]] = -3.0
     seen = np.full_like(weights, 1e-6)
@@ -280,12 +363,17 @@ def added_spans(text: str, weights: np.ndarray, base) -> list[tuple[int, int, in
     for _, _, b in base:
         far = max(far, b)
         ends.append(far)
+
+    def taken(a: int, b: int) -> bool:
+        at = bisect_right(starts, b - 1)
+        return bool(at) and ends[at - 1] > a
+
     for start, end in regions(text):
         k = bisect_right(starts, start)
         if k and ends[k - 1] >= end:
             continue  # All of it is a base span.
         for first, last in pieces_of(text, start, end):
-            segments = Segments(text, first, last)
+            segments = Segments(text, first, last, taken)
             if not segments.spans:
                 continue
             scores = segments.scores(weights)
@@ -295,8 +383,7 @@ def added_spans(text: str, weights: np.ndarray, base) -> list[tuple[int, int, in
             for k, kind in best_labels(segments.n, segments.spans, scores):
                 i, j = segments.spans[k]
                 a, b = segments.cuts[i], segments.cuts[j]
-                at = bisect_right(starts, b - 1)
-                if sure[k, kind] >= SURE and not (at and ends[at - 1] > a):
+                if sure[k, kind] >= SURE:
                     out.append((a, kind, b))
     return out
 
@@ -312,12 +399,24 @@ def pieces_of(text: str, start: int, end: int, most: int = 4000) -> Iterator[tup
 
 
 def _sample(docs: DataFrame, text_col: str) -> list[str]:
-    """At most ``SAMPLE_ROWS`` lines with digits or at-signs, in the order of a hash."""
+    """At most ``SAMPLE_ROWS`` distinct passages for each probe, dealt in turn.
+
+    A passage is of whole words around the first place in a text that the probe finds; copies
+    count once, so that common ones do not fill the sample.
+    """
     text = F.col(text_col).cast("string")
-    line = F.regexp_extract(text, r"([^\n]{0,200}[0-9@][^\n]{0,200})", 1)
-    lines = docs.where(text.rlike("[0-9@]")).select(line.alias("line"))
-    found = lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_ROWS)
-    return [row.line for row in found.collect()]
+    sample = []
+    for probe in PROBES:
+        at = F.regexp_instr(text, F.lit(probe))
+        cut = docs.select(text.alias("text"), at.alias("at")).where("at > 0")
+        passage = F.substring("text", F.greatest(F.col("at") - BEFORE, F.lit(1)), F.lit(BEFORE + FROM))
+        passage = F.when(F.col("at") > BEFORE, F.regexp_replace(passage, r"^\S*", "")).otherwise(passage)
+        goes_on = F.length("text") > F.greatest(F.col("at") - BEFORE, F.lit(1)) + BEFORE + FROM - 1
+        passage = F.when(goes_on, F.regexp_replace(passage, r"\S*+$", "")).otherwise(passage)
+        lines = cut.select(passage.alias("line")).distinct()
+        found = lines.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_ROWS)
+        sample.append([row.line for row in found.collect()])
+    return list(dict.fromkeys(x for own in zip_longest(*sample) for x in own if x))
 
 
 def _find(weights: np.ndarray):

@@ -113,6 +113,35 @@ def test_find_and_redact(spark):
     assert pii.find_spans(docs.limit(0))[0].count() == 0
 
 
+def card_number(rng):
+    digits = "4" + "".join(str(rng.randint(0, 9)) for _ in range(14))
+    return next(digits + c for c in "0123456789" if pii.luhn(digits + c))
+
+
+def test_neighbours_that_the_patterns_join_are_found_and_redacted(spark):
+    rng = random.Random(6)
+    one, two = card_number(rng), card_number(rng)
+    phone, ip = "+1 (826) 555-4081", "190.137.223.204"
+    texts = [f"words {one} {two} here", f"words {phone} {ip} here", "chapter 12 of 2019 costs 45.50 and 7 more"]
+    broken = two[:-1] + str((int(two[-1]) + 1) % 10)
+    texts.append(f"parts {broken} {broken} there")
+    far = "plain words of no kind at all " * 20
+    for k in range(40):
+        texts.append(f"room {k * 101} {far} paid with {card_number(rng)} of late, by a{k}.b@host{k}.example.com")
+        texts.append(f"{far} in 20{k + 10} {far} call +1 ({200 + k}) 555-{rng.randint(1000, 9999)}, from {k}.20.{rng.randint(0, 255)}.7, room {k * 7919}")
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], DOCUMENTS)
+    assert pii.base_spans(texts[0]) == [] and [k for _, k, _ in pii.base_spans(texts[1])] == [1]
+    found, name = pii.find_spans(docs)
+    spans = {
+        r.doc_id: sorted((s.kind, texts[r.doc_id][s.start : s.end]) for s in r[name])
+        for r in found.where("doc_id < 4").collect()
+    }
+    assert spans == {0: sorted([("card", one), ("card", two)]), 1: [("ip", ip), ("phone", phone)], 2: [], 3: []}
+    new = {r.doc_id: r.text for r in pii.redacted(docs).where("doc_id < 4").collect()}
+    assert new[0] == "words [CARD] [CARD] here" and new[1] == "words [PHONE] [IP] here"
+    assert new[2] == texts[2] and new[3] == texts[3]
+
+
 # --- Licences
 
 
