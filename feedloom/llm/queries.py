@@ -13,6 +13,7 @@ from feedloom.llm import (
     licences,
     nbest,
     order,
+    periods,
     permutation,
     pii,
     warc,
@@ -140,6 +141,68 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents"))
 
 
+def with_period(docs: DataFrame) -> DataFrame:
+    """Texts of a tenth of the ids get a periodic end: word i from place a on is word a + (i - a) % p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    n = F.size("words").cast("long")
+    a = F.col("g") % n
+    p = 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("long")
+    word = F.transform(
+        F.sequence(F.lit(0), n.cast("int") - 1),
+        lambda i: F.get(
+            "words",
+            F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"),
+        ),
+    )
+    planted = (h % 10 == 0) & F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    return (
+        docs.select("doc_id", "text", F.when(planted, words).alias("words"), g.alias("g"))
+        .withColumn("a", F.when(n > 0, a))
+        .withColumn("p", F.when(n > 0, p))
+        .select(
+            "doc_id",
+            F.when(F.col("words").isNull(), F.col("text"))
+            .otherwise(F.array_join(word, " "))
+            .alias("text"),
+        )
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found, name = periods.periodic_runs(with_period(table(spark, sf, "documents")))
+    runs = F.col(f"{name}.runs")
+    # Runs are in order of start and period: of equal exponents the first stays.
+    best = F.reduce(
+        F.slice(runs, 2, F.greatest(F.size(runs) - 1, F.lit(0))),
+        F.get(runs, F.lit(0)),
+        lambda x, y: F.when(
+            y["length"].cast("decimal(19,0)") * x["period"]
+            > x["length"].cast("decimal(19,0)") * y["period"],
+            y,
+        ).otherwise(x),
+    )
+    told = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(told, lambda t: F.concat(t, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col(f"{name}.text").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -159,6 +222,7 @@ QUERIES = {
         op8_permutation_index,
         op9_warc_dictionary,
         op10_ngram_jaccard_join,
+        op13_periodic_runs,
         pipeline,
     )
 }
