@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (
+    bpe,
     budget,
     fertility,
     jaccard,
@@ -141,6 +142,19 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_byte_bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
+    tokens, ids = bpe.encode(table(spark, sf, "documents"))
+    decoded, text = bpe.decode(tokens, ("doc_id", ids), ids)
+    return decoded.select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col(ids).cast("array<string>"), " ").cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        F.sha2(F.col(text).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def with_period(docs: DataFrame) -> DataFrame:
     """Texts of a tenth of the ids get a periodic end: word i from place a on is word a + (i - a) % p."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -222,6 +236,7 @@ QUERIES = {
         op8_permutation_index,
         op9_warc_dictionary,
         op10_ngram_jaccard_join,
+        op11_byte_bpe_transducer,
         op13_periodic_runs,
         pipeline,
     )
