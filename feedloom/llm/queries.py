@@ -16,6 +16,7 @@ from feedloom.llm import (
     order,
     periods,
     permutation,
+    phrases,
     pii,
     warc,
 )
@@ -155,6 +156,10 @@ def op11_byte_bpe_transducer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 def with_period(docs: DataFrame) -> DataFrame:
     """Texts of a tenth of the ids get a periodic end: word i from place a on is word a + (i - a) % p."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -237,11 +242,53 @@ QUERIES = {
         op9_warc_dictionary,
         op10_ngram_jaccard_join,
         op11_byte_bpe_transducer,
+        op12_collocations,
         op13_periodic_runs,
         pipeline,
     )
 }
 ORACLE_SQL: dict[str, str] = {
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), lists AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+            FROM pieces
+        ), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+        grams AS (
+            SELECT lang, array_slice(w, i, i + k - 1) AS g, k, count(*)::BIGINT AS f
+            FROM (
+                SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                FROM lists, (VALUES (1), (2), (3), (4)) AS ks(k)
+            ) GROUP BY ALL HAVING count(*) >= 30
+        ), cuts AS (
+            SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, i,
+                ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+            FROM (SELECT *, unnest(range(1, k)) AS i FROM grams WHERE k > 1) AS c
+            JOIN grams AS x ON x.lang = c.lang AND x.g = array_slice(c.g, 1, i)
+            JOIN grams AS y ON y.lang = c.lang AND y.g = array_slice(c.g, i + 1, c.k)
+        ), scored AS (
+            SELECT lang, g, any_value(a) AS a, arg_min(l, [score, i]) AS l, arg_min(r, [score, i]) AS r,
+                min(score) AS score
+            FROM cuts GROUP BY lang, g
+        ), longer AS (
+            SELECT lang, array_slice(g, i, i + m - 1) AS g, max(f) AS most
+            FROM (
+                SELECT *, unnest(range(1, k - m + 2)) AS i
+                FROM grams, (VALUES (2), (3)) AS ms(m) WHERE m < k
+            ) GROUP BY ALL
+        ), best AS (
+            SELECT s.lang, array_to_string(s.g, ' ') AS phrase, s.a, s.l, s.r, t.n, s.score,
+                row_number() OVER (PARTITION BY s.lang
+                    ORDER BY s.score DESC, s.a DESC, array_to_string(s.g, ' ')) AS rank
+            FROM scored AS s JOIN totals AS t ON t.lang = s.lang
+            LEFT JOIN longer AS o ON o.lang = s.lang AND o.g = s.g
+            WHERE o.most IS NULL OR 100 * o.most < 80 * s.a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM best WHERE rank <= 2000""",
     # Five hex digits of the digest are four base32 digits.
     "op9_warc_dictionary": """
         WITH p AS (
