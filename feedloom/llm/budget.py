@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import kept_table
+from feedloom.llm.common import free_name, kept_table
 from feedloom.operators.joins import sized_broadcast
 
 LEVELS = ("domain", "language", "origin")
@@ -28,12 +28,17 @@ def n_words(text: Column) -> Column:
     )
 
 
-def order_hash(seed: int, epoch: Column, doc_id: Column) -> Column:
+def order_hash(seed: int, epoch: Column, doc_id: Column, digest: Column) -> Column:
     """60 bits that place a document in its leaf's order of an epoch."""
-    text = F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), doc_id.cast("string"))
+    text = F.concat_ws("|", F.lit(str(seed)), epoch.cast("string"), digest.cast("string"), doc_id)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
+def turn(number: Column) -> Column:
+    """As many bits that place a row among rows with equal order hashes."""
+    return F.xxhash64(number).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+
+
 def _weight(level: Column, weights: dict[str, int]) -> Column:
     out = F.lit(None).cast("long")
     for value, weight in weights.items():
@@ -122,9 +127,9 @@ def leaf_budgets(
     )
 
 
-def _boundary(rows: DataFrame, bucket: Column, name: str) -> DataFrame:
-    """Per leaf the bucket in which its rest is used up, and the tokens of those before it."""
-    sums = rows.groupBy(*LEVELS, bucket.alias(name)).agg(
+def _boundary(rows: DataFrame, key: Column, name: str) -> DataFrame:
+    """Per leaf the first ``key`` with which its rest is used up, and the rest that is left for it."""
+    sums = rows.groupBy(*LEVELS, key.alias(name)).agg(
         F.sum("n_tokens").alias("_sum"), F.min("_left").alias("_had")
     )
     order = Window.partitionBy(*LEVELS).orderBy(name)
@@ -134,7 +139,16 @@ def _boundary(rows: DataFrame, bucket: Column, name: str) -> DataFrame:
     first = placed.groupBy(*LEVELS).agg(
         F.min(F.struct(name, (F.col("_had") - F.col("_upto") + F.col("_sum")).alias("_left"))).alias("x")
     )
-    return first.select(*(F.col(c).alias(f"_{c}") for c in LEVELS), f"x.{name}", "x._left")
+    return kept_table(
+        first.select(*(F.col(c).alias(f"_{c}") for c in LEVELS), f"x.{name}", "x._left"), "boundaries"
+    )
+
+
+def _inside(rows: DataFrame, key: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """The boundary by ``key``, and the rows whose key it is with what is left for them."""
+    ends = _boundary(rows, key, name)
+    within = _joined(rows.drop("_left"), ends).where(key == F.col(name)).drop(name)
+    return kept_table(within, "boundary-rows"), ends
 
 
 def _joined(rows: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
@@ -144,48 +158,44 @@ def _joined(rows: DataFrame, side: DataFrame, how: str = "inner") -> DataFrame:
 
 
 def cutoffs(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
-    """Per leaf its full epochs and the last (hash, id) that it takes in the epoch after them.
+    """Per leaf its full epochs and the last (hash, turn) that it takes in the epoch after them.
 
-    A leaf may hold a third of all documents, so its prefix is not summed in one task: sums of
-    1,024 buckets of the hash find the bucket in which the rest ends, sums of 1,024 parts of it
-    the part, and only the documents of that part, about a millionth, are summed one by one.
+    A leaf, an id, or a text may hold a third of all documents, so a prefix is not summed in one
+    task. Sums of 1,024 buckets of the hash find the bucket in which the rest ends, sums of 1,024
+    parts of it the part, and sums of that part's hashes, about a millionth, the hash. Rows that
+    share it are taken in the order of their turns, whose buckets and parts are found alike.
     """
     full = F.floor(F.col("budget") / F.greatest(F.col("available"), F.lit(1))).cast("long")
     plan = leaves.withColumn("full", full).withColumn(
         "_left", F.col("budget") - F.col("full") * F.col("available")
     )
     sides = plan.select(*(F.col(c).alias(f"_{c}") for c in LEVELS), "full", "_left")
-    hashed = _joined(rows, sides).withColumn("_h", order_hash(seed, F.col("full"), F.col("doc_id")))
-    first = _boundary(
-        hashed, F.shiftright("_h", HASH_BITS - BUCKET_BITS), "_b1"
-    ).withColumnRenamed("_left", "_left1")
-    within = _joined(hashed, kept_table(first, "boundaries")).where(
-        F.shiftright("_h", HASH_BITS - BUCKET_BITS) == F.col("_b1")
-    )
-    within = kept_table(within.drop("_left").withColumnRenamed("_left1", "_left"), "boundary-rows")
-    second = kept_table(
-        _boundary(within, F.shiftright("_h", HASH_BITS - 2 * BUCKET_BITS), "_b2"), "parts"
-    ).withColumnRenamed("_left", "_left2")
-    last = _joined(within, second).where(
-        F.shiftright("_h", HASH_BITS - 2 * BUCKET_BITS) == F.col("_b2")
-    )
-    upto = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("_h", "_id"))
+    hashed = (
+        _joined(rows, sides)
+        .withColumn("_h", order_hash(seed, F.col("full"), F.col("id"), F.col("digest")))
+        .withColumn("_t", turn(F.col("number")))
+    )
+    top, part = HASH_BITS - BUCKET_BITS, HASH_BITS - 2 * BUCKET_BITS
+    within, _ = _inside(hashed, F.shiftright("_h", top), "_b1")
+    within, _ = _inside(within, F.shiftright("_h", part), "_b2")
+    within, hashes = _inside(within, F.col("_h"), "_cut")
+    within, _ = _inside(within, F.shiftright("_t", top), "_b3")
+    within, parts = _inside(within, F.shiftright("_t", part), "_b4")
     taken = (
-        last.withColumn("_id", _id(F.col("doc_id")))
-        .withColumn("_upto", upto)
-        .where(F.col("_upto") <= F.col("_left2"))
+        within.withColumn("_upto", F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("_t")))
+        .where(F.col("_upto") <= F.col("_left"))
         .groupBy(*LEVELS)
-        .agg(F.max(F.struct("_h", "_id")).alias("_last"))
-    )
-    below = F.shiftleft(F.col("_b2"), HASH_BITS - 2 * BUCKET_BITS) - 1
-    ends = second.join(
-        taken, _same([f"_{c}" for c in LEVELS], list(LEVELS)), "left"
-    ).select(
-        *(f"_{c}" for c in LEVELS),
-        F.coalesce("_last._h", below).alias("cut_hash"),
-        F.when(F.col("_last").isNull(), F.lit(LAST)).otherwise(F.col("_last._id")).alias("cut_id"),
+        .agg(F.max("_t").alias("_last"))
     )
+    below = F.shiftleft(F.col("_b4"), part) - 1
     names = [f"_{c}" for c in LEVELS]
+    ends = (
+        hashes.select(*names, F.col("_cut").alias("cut_hash"))
+        .join(parts.select(*(F.col(n).alias(f"_{n}") for n in names), "_b4"),
+              _same(names, [f"_{n}" for n in names]))
+        .join(taken, _same(names, list(LEVELS)), "left")
+        .select(*names, "cut_hash", F.coalesce("_last", below).alias("cut_turn"))
+    )
     return (
         plan.join(ends, _same(list(LEVELS), names), "left")
         .select(
@@ -193,15 +203,11 @@ def cutoffs(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
             # A rest of nothing begins no further epoch, not even for texts without tokens.
             F.when(F.col("_left") == 0, -1).otherwise(F.coalesce("cut_hash", F.lit(LAST)))
             .alias("cut_hash"),
-            F.coalesce("cut_id", F.lit(LAST)).alias("cut_id"),
+            F.coalesce("cut_turn", F.lit(LAST)).alias("cut_turn"),
         )
     )
 
 
-def _id(doc_id: Column) -> Column:
-    return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
-
-
 def mixed(
     docs: DataFrame,
     levels: tuple[Column, Column, Column],
@@ -217,14 +223,25 @@ def mixed(
     The budget is ``budget_percent`` of all tokens, at most ``max_epochs`` times what a leaf has.
     ``epochs`` says how often the row is read: the leaf's full epochs, and once more if it lies in
     the prefix of the next. A null level is a node of its own; a null or empty text has no
-    tokens; a null id comes first among equal hashes; repeated rows have the same place in the
-    order and are taken together or not at all; other columns may have any name; an empty table
-    gives no rows.
+    tokens; ids of any type, null and repeated ones too, and repeated rows each have their place;
+    other columns may have any name; an empty table
+    gives no rows. Rows are written once, with a number: what is equal in id and text is parted
+    by it, so that a prefix can end among rows without id, or among copies of one row.
     """
-    doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    number = free_name(docs, "number")
+    columns = docs.columns
+    docs = kept_table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    doc_id, text = F.col(id_col).cast("string"), F.col(text_col).cast("string")
     path = [level.cast("string").alias(name) for level, name in zip(levels, LEVELS)]
     narrow = kept_table(
-        docs.select(*path, doc_id.alias("doc_id"), n_words(text).alias("n_tokens")), "tokens"
+        docs.select(
+            *path,
+            doc_id.alias("id"),
+            F.xxhash64(text).alias("digest"),
+            F.col(number).alias("number"),
+            n_words(text).alias("n_tokens"),
+        ),
+        "tokens",
     )
     leaves = kept_table(
         narrow.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("available")), "leaves"
@@ -233,19 +250,21 @@ def mixed(
     budget = total * budget_percent // 100
     shared = kept_table(leaf_budgets(leaves, budget, weights, max_epochs), "leaf-budgets")
     ends = kept_table(cutoffs(narrow, shared, seed), "cutoffs")
-    side = ends.select(*(F.col(c).alias(f"_{c}") for c in LEVELS), "full", "cut_hash", "cut_id")
-    packed = docs.select(F.struct("*").alias("row"), *path)
+    side = ends.select(*(F.col(c).alias(f"_{c}") for c in LEVELS), "full", "cut_hash", "cut_turn")
+    packed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"),
+        F.col(number).alias("_number"),
+        *path,
+    )
     found = _joined(packed, side)
-    own, place = F.col(f"row.{id_col}"), F.col("_place")
-    chosen = (place < F.col("cut_hash")) | (
-        (place == F.col("cut_hash")) & (_id(own) <= F.col("cut_id"))
+    own, text = F.col("row").getField(id_col), F.col("row").getField(text_col).cast("string")
+    place = order_hash(seed, F.col("full"), own.cast("string"), F.xxhash64(text))
+    chosen = (F.col("_place") < F.col("cut_hash")) | (
+        (F.col("_place") == F.col("cut_hash")) & (turn(F.col("_number")) <= F.col("cut_turn"))
     )
     return (
-        found.withColumn("_place", order_hash(seed, F.col("full"), own.cast("long")))
+        found.withColumn("_place", place)
         .withColumn("epochs", F.col("full") + F.when(chosen, 1).otherwise(0))
         .where("epochs > 0")
-        .select(
-            "row", *LEVELS, n_words(F.col(f"row.{text_col}").cast("string")).alias("n_tokens"),
-            F.col("epochs").cast("int").alias("epochs"),
-        )
-    )
+        .select("row", *LEVELS, n_words(text).alias("n_tokens"), F.col("epochs").cast("int").alias("epochs"))
+    )

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import kept_table, per_worker, slices, texts
+from feedloom.llm.common import free_name, kept_table, per_worker, slices, texts
 from feedloom.llm.order import mix
 from feedloom.operators.joins import sized_broadcast
 
@@ -563,28 +563,32 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the row with its id.
+    """The rows of ``docs`` without near duplicates: one row of each component stays.
 
-    Ids of rows to go are broadcast only if counted to be few, else joined. Ids name documents:
-    of rows that share one, one stays; a row without id always stays.
+    It is the one with the smallest id (null last), and of equal ids the one written first. Rows
+    are written once, with a number, and compared by it: ids may be null, or stand on several
+    texts. A null or empty text is like no other and stays. Numbers of rows to go are broadcast
+    only if counted to be few, else joined.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    found = kept_table(found, "components")
-    found = found.where("doc_id is not null")
-    gone = found.where("component_id <> doc_id").select(
-        F.col("doc_id").alias("_gone")
+    number = free_name(docs, "number")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    docs = kept_table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = kept_table(near_duplicates(docs, number, text_col), "components")
+    several = (
+        found.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     )
-    gone = kept_table(gone.distinct(), "gone")
-    again = kept_table(
-        found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(
-            F.col("doc_id").alias("_again")
-        ),
-        "repeated-ids",
-    )
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"))
-    kept = packed.join(sized_broadcast(gone), F.col("_id") == F.col("_gone"), "left_anti")
-    few = sized_broadcast(again)
-    same = F.col("_id") == F.col("_again")
-    single = kept.join(few, same, "left_anti")
-    repeated = kept.join(few, same, "left_semi").dropDuplicates(["_id"])
-    return single.select("row.*").unionByName(repeated.select("row.*"))
+    members = kept_table(
+        found.select(F.col("doc_id").alias("row"), "component_id")
+        .join(sized_broadcast(kept_table(several.select("component_id"), "several")), "component_id")
+        .join(docs.select(F.col(number).alias("row"), F.col(id_col).alias("id")), "row"),
+        "members",
+    )
+    best = members.groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("without"), "id", "row")).alias("best")
+    )
+    gone = kept_table(
+        members.join(best, "component_id").where("row <> best.row").select(F.col("row").alias("_gone")),
+        "gone",
+    )
+    kept = docs.join(sized_broadcast(gone), F.col(number) == F.col("_gone"), "left_anti")
+    return kept.select(*columns)
