@@ -5,7 +5,8 @@ Times are receipt nanoseconds; timeouts are seconds.
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,72 +130,195 @@ def stale_moment(silent_from: Column, ready_at: Column, timeout_seconds: int) ->
     return F.greatest(silent_from + F.lit(timeout_seconds * _NS), ready_at)
 
 
+CONNECTION = ["run_id", "component", "connection_key"]
 _ATTEMPTS = (
-    "run_id string, connection_key string, attempt int, at_ns long, event_type string, "
-    "recovered boolean"
+    "run_id string, component string, connection_key string, attempt int, at_ns long, "
+    "event_type string"
 )
+#: Silences are thinned in stretches of so many timeouts, which bounds a symbol's share of each.
+_STRETCH = 64
+
+
+def on_connections(
+    symbols: DataFrame, configured: DataFrame, components: tuple[str, ...] = COMPONENTS
+) -> DataFrame:
+    """Rows by ``run_id, component, symbol_upper`` with their ``connection_key``.
+
+    All symbols of a run share one quote connection; ``configured`` names the depth connections.
+    """
+    return symbols.join(members(configured, components), ["run_id", "component", "symbol_upper"])
+
+
+def members(configured: DataFrame, components: tuple[str, ...] = COMPONENTS) -> DataFrame:
+    """Every component's configured symbols with the connection that carries them."""
+    return configured.select(
+        "run_id",
+        F.explode(F.array(*[F.lit(name) for name in components])).alias("component"),
+        "symbol_upper",
+        F.col("connection_key").alias("_depth_connection"),
+    ).select(
+        "run_id",
+        "component",
+        "symbol_upper",
+        F.when(F.col("component") == "tbt", F.col("_depth_connection"))
+        .otherwise(F.col("component"))
+        .alias("connection_key"),
+    )
+
+
+def leading_silences(stale: DataFrame, *, timeout_seconds: int = STALE_TIMEOUT) -> DataFrame:
+    """Silences per connection that reach beyond all that began before them.
+
+    ``stale`` holds silences with ``component, connection_key, stale_at_ns, silent_until_ns``. A
+    retry comes one timeout after the latest of a silence's begin and the last retry, as long as
+    the silence lasts. A silence within a longer one that began earlier is never the one that
+    decides, so a connection with many symbols shrinks to its outline before it is swept.
+    """
+    timeout = timeout_seconds * _NS
+    begins = stale.groupBy(*CONNECTION, (F.col("stale_at_ns") - timeout).alias("begin_ns")).agg(
+        F.max("silent_until_ns").alias("end_ns")
+    )
+    outlined = running(
+        begins, CONNECTION, "begin_ns", {"_reach": Running(F.col("end_ns"), "max")},
+        chunk_rows=max(1, _STRETCH * timeout),
+    )
+    return outlined.where(
+        F.col("_reach").isNull() | (F.col("end_ns") > F.col("_reach"))
+    ).drop("_reach")
+
+
+class _Sweep:
+    """Retries of one connection, fed silences in order of their begin; keeps five numbers."""
+
+    def __init__(self, timeout: int, retries: int) -> None:
+        self.timeout, self.retries = timeout, retries
+        self.reach: int | None = None
+        self.retry_at: int | None = None
+        self.attempt, self.failed = 0, False
+
+    def _retry(self, at: int) -> tuple[int, int, str]:
+        # Had a symbol stayed silent since the last retry, this one would follow after a timeout.
+        if self.retry_at is not None and at > self.retry_at + self.timeout:
+            self.attempt = 0
+        self.retry_at = at
+        if self.attempt >= self.retries:
+            self.failed = True
+            return self.attempt, at, "feed_stale"
+        self.attempt += 1
+        return self.attempt, at, "feed_stale_retry"
+
+    def until(self, begin: int | None) -> Iterator[tuple[int, int, str]]:
+        """Retries that silences seen so far cause before one that begins at ``begin`` is known."""
+        while not self.failed and self.retry_at is not None and self.reach is not None:
+            due = self.retry_at + self.timeout
+            if self.reach < due or (begin is not None and begin <= self.retry_at):
+                return
+            yield self._retry(due)
+
+    def add(self, begin: int, end: int) -> Iterator[tuple[int, int, str]]:
+        yield from self.until(begin)
+        if not self.failed and (self.retry_at is None or begin > self.retry_at):
+            # Nothing that began earlier lasts a timeout from the last retry on.
+            yield self._retry(begin + self.timeout)
+        self.reach = end if self.reach is None else max(self.reach, end)
 
 
 def stale_attempts(
     stale: DataFrame,
-    last_seen: DataFrame,
     *,
     timeout_seconds: int = STALE_TIMEOUT,
     retries: int = STALE_RETRIES,
 ) -> DataFrame:
-    """Retry attempts per connection, up to the fatal one, and whether each recovered.
+    """Retries per connection in order, up to the fatal one.
 
-    ``stale`` holds the silences with ``connection_key``; ``last_seen`` one row per run and
-    connection with ``oldest_last_ns``: the earliest last receipt among its symbols (null when
-    one never arrived). A retry restarts the clock of all symbols of the connection. If the next
-    retry follows after exactly the timeout, some symbol stayed silent; otherwise all were fresh
-    in between, which is a recovery and resets the budget.
+    ``stale`` holds the silences with ``component, connection_key``. A retry restarts the clock of
+    all symbols of the connection; if the next one follows after more than the timeout, all were
+    fresh in between, and the count begins anew.
 
-    Only silences reach a group, never events: a symbol has at most one per timeout, so a group
-    is bounded by symbols per connection times run length over timeout.
+    Each connection's outline is sorted and swept once, row by row, with a state of a few numbers:
+    nothing of a connection is gathered, however many symbols it carries.
     """
     timeout = timeout_seconds * _NS
 
-    def fold(spans: pd.DataFrame) -> pd.DataFrame:
-        # The clock a silence starts from, such that it turns stale one timeout later.
-        start = spans["stale_at_ns"].to_numpy(dtype=np.int64) - timeout
-        end = spans["silent_until_ns"].to_numpy(dtype=np.int64)
-        oldest = spans["oldest_last_ns"].iloc[0]
-        out: list[tuple[int, int, str, bool]] = []
-        retry_at: int | None = None
-        attempt = 0
-        while True:
-            due = (start if retry_at is None else np.maximum(start, retry_at)) + timeout
-            open_spans = due[due <= end]
-            if open_spans.size == 0:
-                if out:
-                    fresh = bool(pd.notna(oldest) and int(oldest) > out[-1][1])
-                    out[-1] = (*out[-1][:3], fresh)
-                break
-            next_at = int(open_spans.min())
-            if retry_at is not None and next_at > retry_at + timeout:
-                out[-1] = (*out[-1][:3], True)
-                attempt = 0
-            if attempt >= retries:
-                out.append((attempt, next_at, "feed_stale", False))
-                break
-            attempt += 1
-            retry_at = next_at
-            out.append((attempt, next_at, "feed_stale_retry", False))
-        frame = pd.DataFrame(out, columns=["attempt", "at_ns", "event_type", "recovered"])
-        frame.insert(0, "connection_key", spans["connection_key"].iloc[0])
-        frame.insert(0, "run_id", spans["run_id"].iloc[0])
-        return frame
-
-    keys = ["run_id", "connection_key"]
-    # Few bytes but much work per row: a set number of partitions keeps AQE from merging them.
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state, out = None, _Sweep(timeout, retries), []
+        for batch in batches:
+            for *names, begin, end in batch.itertuples(index=False):
+                if names != key:
+                    if key is not None:
+                        out += [(*key, *row) for row in state.until(None)]
+                    key, state = names, _Sweep(timeout, retries)
+                out += [(*key, *row) for row in state.add(int(begin), int(end))]
+            yield pd.DataFrame(out, columns=[*CONNECTION, "attempt", "at_ns", "event_type"])
+            out = []
+        if key is not None:
+            out = [(*key, *row) for row in state.until(None)]
+            yield pd.DataFrame(out, columns=[*CONNECTION, "attempt", "at_ns", "event_type"])
+
+    outline = leading_silences(stale, timeout_seconds=timeout_seconds).select(
+        *CONNECTION, "begin_ns", "end_ns"
+    )
+    # Few bytes but work per row: a set number of partitions keeps AQE from merging them.
     width = int(stale.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        stale.select(*keys, "stale_at_ns", "silent_until_ns")
-        .join(last_seen.select(*keys, "oldest_last_ns"), keys, "left")
-        .repartition(width, *keys)
-        .groupBy(*keys)
-        .applyInPandas(fold, _ATTEMPTS)
+        outline.repartition(width, *CONNECTION)
+        .sortWithinPartitions(*CONNECTION, "begin_ns")
+        .mapInPandas(sweep, _ATTEMPTS)
+    )
+
+
+def recoveries(
+    attempts: DataFrame,
+    events: DataFrame,
+    configured: DataFrame,
+    *,
+    timeout_seconds: int = STALE_TIMEOUT,
+    components: tuple[str, ...] = COMPONENTS,
+) -> DataFrame:
+    """``feed_recovered`` rows: when the last symbol of a retried connection was fresh again.
+
+    Shaped like ``stale_attempts``. A retry that is not followed by another after a timeout has
+    every symbol's next receipt within it, or the run ended before. Receipts are met by equal
+    joins on symbol and stretch of a timeout: each meets the one or two retries it may belong to.
+    """
+    timeout = timeout_seconds * _NS
+    if timeout <= 0:
+        return attempts.where(F.lit(False))
+
+    def stretch(ns: Column) -> Column:
+        return F.call_function("div", ns, F.lit(timeout))
+
+    at = F.col("at_ns")
+    waiting = (
+        attempts.where(F.col("event_type") == "feed_stale_retry")
+        .join(members(configured, components), CONNECTION)
+        .withColumn("_stretch", F.explode(F.array(stretch(at), stretch(at) + 1)))
+    )
+    receipts = events.select(
+        "run_id",
+        "component",
+        F.upper("symbol").alias("symbol_upper"),
+        "received_at_unix_ns",
+        stretch(F.col("received_at_unix_ns")).alias("_stretch"),
+    )
+    fresh = (F.col("received_at_unix_ns") > at) & (F.col("received_at_unix_ns") < at + timeout)
+    per_symbol = (
+        waiting.join(receipts, ["run_id", "component", "symbol_upper", "_stretch"], "left")
+        .groupBy(*CONNECTION, "attempt", "at_ns", "symbol_upper")
+        .agg(F.min(F.when(fresh, F.col("received_at_unix_ns"))).alias("fresh_ns"))
+    )
+    return (
+        per_symbol.groupBy(*CONNECTION, "attempt", "at_ns")
+        .agg(
+            F.max("fresh_ns").alias("recovered_ns"),
+            F.count("fresh_ns").alias("_fresh"),
+            F.count(F.lit(1)).alias("_all"),
+        )
+        .where("_fresh = _all")
+        .select(
+            *CONNECTION, "attempt", F.col("recovered_ns").alias("at_ns"),
+            F.lit("feed_recovered").alias("event_type"),
+        )
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.operators.scan import Running, running
 from feedloom.operators.universe import connection_key
+from feedloom.session import shared_dir
 
 # Fixed values of the adapters: scaled limits for a feed with hours between rows.
 STALE_SECONDS = 86_400
@@ -437,5 +438,12 @@ def order_runs(spark: SparkSession, sf: str) -> DataFrame:
     ).where(F.col("status").isNotNull())
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written below the shared folder and read back: several readers, one computation."""
+    path = shared_dir(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def with_sql(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"

@@ -8,7 +8,7 @@ from feedloom.operators import health, manifest, quality, replay, sequence, univ
 from feedloom.plans import feeds
 from feedloom.plans.feeds import (
     CONFIGURED_SQL, CONTROL_SQL, DEPTH_SQL, LINES_SQL, QUOTES_SQL, RUN_UNIVERSE_SQL, SEEN_SQL,
-    SPANS_SQL, TICKS_SQL, table, with_sql,
+    SPANS_SQL, TICKS_SQL, stored, table, with_sql,
 )
 
 _NS = 1_000_000_000
@@ -46,31 +46,27 @@ def stale_feeds(spark, sf):
     )
 
 
-def stale_attempts(spark, sf):
-    """Retries on the depth feed, whose connections carry five symbols each."""
-    seen = feeds.seen_events(spark, sf).where(F.col("component") == "tbt")
-    configured = feeds.configured_per_run(spark, sf)
+def _retries(spark, sf):
+    """Retries of both feeds' connections, and their recoveries."""
+    seen, configured = feeds.seen_events(spark, sf), feeds.configured_per_run(spark, sf)
     stale = health.silences(
-        seen, feeds.run_spans(spark, sf), timeout_seconds=feeds.STALE_SECONDS,
-        configured=configured, components=("tbt",),
-    ).join(configured, ["run_id", "symbol_upper"])
-    last = seen.groupBy("run_id", F.upper("symbol").alias("symbol_upper")).agg(
-        F.max("received_at_unix_ns").alias("last_ns")
+        seen, feeds.run_spans(spark, sf), timeout_seconds=feeds.STALE_SECONDS, configured=configured
     )
-    oldest = (
-        configured.join(last, ["run_id", "symbol_upper"], "left")
-        .groupBy("run_id", "connection_key")
-        .agg(
-            F.when(F.count("last_ns") == F.count(F.lit(1)), F.min("last_ns")).alias(
-                "oldest_last_ns"
-            )
-        )
+    attempts = health.stale_attempts(
+        health.on_connections(stale, configured),
+        timeout_seconds=feeds.STALE_SECONDS, retries=RETRIES,
     )
-    return health.stale_attempts(
-        stale, oldest, timeout_seconds=feeds.STALE_SECONDS, retries=RETRIES
+    # Few rows after much work, read by both branches.
+    attempts = stored(attempts, "retries")
+    return attempts.unionByName(
+        health.recoveries(attempts, seen, configured, timeout_seconds=feeds.STALE_SECONDS)
     )
 
 
+def stale_attempts(spark, sf):
+    return _retries(spark, sf)
+
+
 def outages(spark, sf):
     return health.outages(
         feeds.control_core(spark, sf), feeds.run_spans(spark, sf),
@@ -189,6 +185,43 @@ silences AS (
            AS stale_at_ns
   FROM spans_of o JOIN spans r USING (run_id))"""
 _T = feeds.STALE_SECONDS * _NS
+_CONNECTION = "run_id, component, connection_key"
+RETRIES_VIEW = (
+    SEEN_VIEW.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n" + _SILENCES + f""",
+carried AS (
+  SELECT run_id, component, symbol_upper,
+         CASE component WHEN 'tbt' THEN connection_key ELSE component END AS connection_key
+  FROM expected),
+stale AS (
+  SELECT run_id, component, c.connection_key, s.stale_at_ns, s.silent_until_ns
+  FROM silences s JOIN carried c USING (run_id, component, symbol_upper)
+  WHERE s.stale_at_ns <= s.silent_until_ns),
+attempts AS (
+  SELECT {_CONNECTION}, 1 AS attempt, min(stale_at_ns) AS at_ns FROM stale GROUP BY ALL
+  UNION ALL
+  SELECT {_CONNECTION},
+         CASE WHEN n.at_ns > n.before_ns + {_T} THEN 1 ELSE n.attempt + 1 END, n.at_ns
+  FROM (SELECT {_CONNECTION}, a.attempt, a.at_ns AS before_ns,
+               min(greatest(s.stale_at_ns, a.at_ns + {_T})) AS at_ns
+        FROM attempts a JOIN stale s USING ({_CONNECTION})
+        WHERE a.attempt <= {RETRIES} AND greatest(s.stale_at_ns, a.at_ns + {_T}) <= s.silent_until_ns
+        GROUP BY ALL) n),
+fresh AS (
+  SELECT a.run_id, a.component, a.connection_key, a.attempt, a.at_ns, c.symbol_upper,
+         min(s.received_at_unix_ns) AS fresh_ns
+  FROM attempts a JOIN carried c USING ({_CONNECTION})
+  LEFT JOIN seen s ON s.run_id = a.run_id AND s.component = a.component
+    AND s.symbol_upper = c.symbol_upper AND s.received_at_unix_ns > a.at_ns
+    AND s.received_at_unix_ns < a.at_ns + {_T}
+  WHERE a.attempt <= {RETRIES} GROUP BY ALL),
+turns_of AS (
+  SELECT {_CONNECTION}, least(attempt, {RETRIES}) AS attempt, at_ns,
+         CASE WHEN attempt > {RETRIES} THEN 'feed_stale' ELSE 'feed_stale_retry' END AS event_type
+  FROM attempts
+  UNION ALL
+  SELECT {_CONNECTION}, attempt, max(fresh_ns), 'feed_recovered'
+  FROM fresh GROUP BY {_CONNECTION}, attempt, at_ns HAVING count(fresh_ns) = count(*))
+""")
 
 QUERIES = {
     "first_event_gate": (first_event_gate, SEEN_VIEW.rstrip() + ",\n" + _EXPECTED + f"""
@@ -205,38 +238,7 @@ SELECT u.run_id, c.component, u.symbol_upper FROM run_universe u,
 EXCEPT SELECT run_id, kind, upper({feeds.SYMBOL_SQL}) FROM ticks"""),
     "stale_feeds": (stale_feeds, SEEN_VIEW.rstrip() + ",\n" + _SILENCES + """
 SELECT * FROM silences WHERE stale_at_ns <= silent_until_ns"""),
-    "stale_attempts": (stale_attempts, SEEN_VIEW.replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
-     + ",\n" + _SILENCES + f""",
-stale AS (
-  SELECT s.run_id, u.connection_key, s.stale_at_ns, s.silent_until_ns
-  FROM silences s JOIN run_universe u USING (run_id, symbol_upper)
-  WHERE s.component = 'tbt' AND s.stale_at_ns <= s.silent_until_ns),
-oldest AS (
-  SELECT u.run_id, u.connection_key,
-         CASE WHEN count(l.last_ns) = count(*) THEN min(l.last_ns) END AS oldest_last_ns
-  FROM run_universe u LEFT JOIN (
-    SELECT run_id, symbol_upper, max(received_at_unix_ns) AS last_ns FROM seen
-    WHERE component = 'tbt' GROUP BY ALL) l USING (run_id, symbol_upper)
-  GROUP BY ALL),
-attempts AS (
-  SELECT run_id, connection_key, 1 AS attempt, min(stale_at_ns) AS at_ns FROM stale GROUP BY ALL
-  UNION ALL
-  SELECT n.run_id, n.connection_key,
-         CASE WHEN n.at_ns > n.before_ns + {_T} THEN 1 ELSE n.attempt + 1 END, n.at_ns
-  FROM (SELECT a.run_id, a.connection_key, a.attempt, a.at_ns AS before_ns,
-               min(greatest(s.stale_at_ns, a.at_ns + {_T})) AS at_ns
-        FROM attempts a JOIN stale s USING (run_id, connection_key)
-        WHERE a.attempt <= {RETRIES} AND greatest(s.stale_at_ns, a.at_ns + {_T}) <= s.silent_until_ns
-        GROUP BY ALL) n),
-ranked AS (
-  SELECT *, lead(at_ns) OVER (PARTITION BY run_id, connection_key ORDER BY at_ns) AS next_ns
-  FROM attempts)
-SELECT r.run_id, r.connection_key, least(r.attempt, {RETRIES}) AS attempt, r.at_ns,
-       CASE WHEN r.attempt > {RETRIES} THEN 'feed_stale' ELSE 'feed_stale_retry' END AS event_type,
-       CASE WHEN r.attempt > {RETRIES} THEN false
-            WHEN r.next_ns IS NOT NULL THEN r.next_ns > r.at_ns + {_T}
-            ELSE coalesce(o.oldest_last_ns > r.at_ns, false) END AS recovered
-FROM ranked r JOIN oldest o USING (run_id, connection_key)"""),
+    "stale_attempts": (stale_attempts, RETRIES_VIEW + "SELECT * FROM turns_of"),
     "outages": (outages, with_sql(TICKS_SQL, CONTROL_SQL, SPANS_SQL) + f"""
 , turns AS (
   SELECT *, lag(event_type) OVER w AS previous,

@@ -54,7 +54,7 @@ def simulate(symbols, events, timeout, retries, ended):
         if any(now - at >= timeout for at in last.values()):
             if attempt >= retries:
                 out.append((attempt, now, "feed_stale"))
-                return out, started
+                return out
             attempt, started = attempt + 1, now
             last = {s: now for s in symbols}
             out.append((attempt, now, "feed_stale_retry"))
@@ -62,20 +62,22 @@ def simulate(symbols, events, timeout, retries, ended):
             last[symbol] = now
             # Fresh means after the retry; the retry's own second counts as the clock's restart.
             if started is not None and all(at > started for at in last.values()):
+                out.append((attempt, now, "feed_recovered"))
                 attempt, started = 0, None
-    return out, started
+    return out
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_attempts_equal_polling(spark, seed):
-    draw = random.Random(seed)
-    symbols, timeout, retries, ended = ["A", "B"], 5, 2, 120
-    times = {"A": [0], "B": [0]}
-    events: dict[int, list[str]] = {0: ["A", "B"]}
+@pytest.mark.parametrize("component", ["data", "tbt"])
+@pytest.mark.parametrize("seed", range(4))
+def test_attempts_equal_polling(spark, seed, component):
+    draw = random.Random(seed + 10 * (component == "data"))
+    symbols, timeout, retries, ended = ["A", "B", "C"][: 2 + seed % 2], 5, 2, 160
+    times = {s: [0] for s in symbols}
+    events: dict[int, list[str]] = {0: list(symbols)}
     for symbol in symbols:
         now = 0
         while True:
-            now += draw.choice([1, 2, 3, 4, 7, 9])
+            now += draw.choice([1, 2, 3, 4, 4, 2, 1, 7, 9])
             if now > ended:
                 break
             times[symbol].append(now)
@@ -84,7 +86,7 @@ def test_attempts_equal_polling(spark, seed):
     for now in sorted(events):
         for symbol in events[now]:
             ids += 1
-            rows.append(("r", ids, "tbt", symbol, now * S))
+            rows.append(("r", ids, component, symbol, now * S))
     frame = spark.createDataFrame(
         rows, "run_id string, event_id long, component string, symbol string, received_at_unix_ns long"
     )
@@ -92,17 +94,31 @@ def test_attempts_equal_polling(spark, seed):
         [("r", 0, ended * S)], "run_id string, ready_at_ns long, ended_at_ns long"
     )
     stale = health.silences(frame, runs, timeout_seconds=timeout, chunk_rows=5)
-    named = stale.withColumn("connection_key", stale["component"])
-    oldest = spark.createDataFrame(
-        [("r", "tbt", min(t[-1] for t in times.values()) * S)],
-        "run_id string, connection_key string, oldest_last_ns long",
+    configured = spark.createDataFrame(
+        [("r", s, "tbt:1") for s in symbols],
+        "run_id string, symbol_upper string, connection_key string",
     )
-    got = health.stale_attempts(named, oldest, timeout_seconds=timeout, retries=retries)
-    want, open_retry = simulate(symbols, events, timeout, retries, ended)
-    rows = got.orderBy("at_ns").collect()
-    assert [(r["attempt"], r["at_ns"] // S, r["event_type"]) for r in rows] == want
-    if want and want[-1][2] == "feed_stale_retry":
-        assert rows[-1]["recovered"] is (open_retry is None)
+    attempts = health.stale_attempts(
+        health.on_connections(stale, configured), timeout_seconds=timeout, retries=retries
+    )
+    back = health.recoveries(attempts, frame, configured, timeout_seconds=timeout)
+    rows = attempts.unionByName(back).collect()
+    assert {(r["component"], r["connection_key"]) for r in rows} <= {
+        (component, {"tbt": "tbt:1"}.get(component, component))
+    }
+    got = sorted((r["at_ns"] // S, r["event_type"] != "feed_recovered", r["attempt"], r["event_type"]) for r in rows)
+    assert [(a, at, kind) for at, _, a, kind in got] == simulate(symbols, events, timeout, retries, ended)
+
+
+def test_only_the_outline_of_many_silences_is_swept(spark):
+    rows = [("r", "data", "data", (k % 50) * S, (60 + k % 50) * S) for k in range(500)]
+    rows += [("r", "data", "data", 5 * S, 1000 * S), ("r", "tbt", "tbt:1", 7 * S, 9 * S)]
+    stale = spark.createDataFrame(
+        rows, "run_id string, component string, connection_key string, stale_at_ns long, silent_until_ns long"
+    )
+    kept = health.leading_silences(stale, timeout_seconds=2)
+    got = sorted((r["component"], r["begin_ns"] // S, r["end_ns"] // S) for r in kept.collect())
+    assert got == [("data", k, 60 + k + 2) for k in range(-2, 3)] + [("data", 3, 1000), ("tbt", 5, 9)]
 
 
 def test_silence_of_a_never_seen_symbol_and_switch_off(spark):
