@@ -19,8 +19,13 @@ def lenient_double(text: Column) -> Column:
     )
 
 
+# More digits after the point than the decimal keeps; the cast would round them, not cut them.
+_LONG_FRACTION = r"^(\s*[+-]?[0-9]*\.[0-9]{18})[0-9]+(\s*)$"
+
+
 def _exact(text: Column) -> Column:
-    return text.try_cast("decimal(38,18)")
+    cut = F.when(F.length(text) > 19, F.regexp_replace(text, _LONG_FRACTION, "$1$2")).otherwise(text)
+    return cut.try_cast("decimal(38,18)")
 
 
 def lenient_long(text: Column) -> Column:

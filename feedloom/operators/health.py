@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.scan import CHUNK_ROWS, Running, running
-from feedloom.operators.universe import missing_symbols
 
 # Default limits in seconds, and the number of stale retries.
 STALE_TIMEOUT = 60
@@ -72,8 +71,9 @@ def silences(
 
     ``runs`` has ``run_id, ready_at_ns, ended_at_ns``. A span runs from one receipt to the next,
     or to the end of the run (``open_ended``). It counts from the moment the streams were ready:
-    a run that never became ready has no silences. Configured symbols that never arrived are
-    silent throughout (``silent_from_ns`` null). A timeout of zero switches the check off.
+    a run that never became ready has no silences. A configured symbol is silent until its first
+    receipt, or throughout (``silent_from_ns`` null), and stale as soon as the streams are ready.
+    A timeout of zero switches the check off.
     """
     window = runs.select("run_id", "ready_at_ns", "ended_at_ns").where(
         F.col("ready_at_ns").isNotNull()
@@ -98,17 +98,21 @@ def silences(
         .select(*keys, "silent_from_ns", F.col("received_at_unix_ns").alias("silent_until_ns"))
     )
     open_ended = F.lit(None).cast("bigint").alias("silent_until_ns")
-    tails = arrivals.groupBy(*keys).agg(
-        F.max_by("received_at_unix_ns", "event_id").alias("silent_from_ns")
+    ends = arrivals.groupBy(*keys).agg(
+        F.max_by("received_at_unix_ns", "event_id").alias("silent_from_ns"),
+        F.min_by("received_at_unix_ns", "event_id").alias("first_ns"),
     )
-    spans = between.unionByName(tails.select("*", open_ended))
+    spans = between.unionByName(ends.select(*keys, "silent_from_ns", open_ended))
     if configured is not None:
-        never = missing_symbols(
-            configured, arrivals.withColumnRenamed("symbol_upper", "symbol"), ["run_id"],
-            components,
+        expected = configured.select(
+            "run_id", F.explode(F.array(*[F.lit(c) for c in components])).alias("component"),
+            "symbol_upper",
         )
         unseen = F.lit(None).cast("bigint").alias("silent_from_ns")
-        spans = spans.unionByName(never.select(*keys, unseen, open_ended))
+        first = F.col("first_ns").alias("silent_until_ns")
+        spans = spans.unionByName(
+            expected.join(ends.select(*keys, "first_ns"), keys, "left").select(*keys, unseen, first)
+        )
     until = F.col("silent_until_ns")
     stale_at = stale_moment(F.col("silent_from_ns"), F.col("ready_at_ns"), timeout_seconds)
     return (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom import schemas
 from feedloom.functions.redact import redacted_settings
 from feedloom.operators import quality
+from feedloom.operators.health import COMPONENTS
 from feedloom.sources import lake
 
 
@@ -20,11 +21,36 @@ def _per_stream(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
     )
 
 
+def _first_events(events: DataFrame, configured: DataFrame | None) -> DataFrame:
+    """Per run and component, as columns, whether the first events that are waited for came."""
+    names = ["run_id", "component", "symbol_upper"]
+    came = (
+        events.where(F.col("symbol").isNotNull())
+        .select("run_id", "component", F.upper("symbol").alias("symbol_upper"))
+        .groupBy(*names)
+        .agg(F.lit(1).alias("came"))
+    )
+    if configured is None:
+        waited = came
+    else:
+        expected = configured.select(
+            "run_id", F.explode(F.array(*map(F.lit, COMPONENTS))).alias("component"), "symbol_upper"
+        )
+        waited = expected.join(came, names, "left")
+    return waited.groupBy("run_id").agg(
+        *(
+            F.min(F.when(F.col("component") == name, F.col("came").isNotNull())).alias(f"_seen_{name}")
+            for name in COMPONENTS
+        )
+    )
+
+
 def manifests(
     events: DataFrame,
     effects: DataFrame,
     *,
     parts: DataFrame | None = None,
+    configured: DataFrame | None = None,
     settings: Mapping[str, str] | None = None,
     secret_names: tuple[str, ...] = (),
     require_ready: bool = True,
@@ -33,7 +59,10 @@ def manifests(
 
     ``events`` has ``run_id, source, component, symbol, connection_epoch, event_id,
     received_at_unix_ns``; ``effects`` is control with ``quality.with_effects``; ``parts`` has
-    ``run_id, source, rows``. Symbols are counted here; the list itself is ``quality.coverage``,
+    ``run_id, source, rows``. First events of a component are seen once every symbol of
+    ``configured`` (``run_id, symbol_upper``) arrived on it; without that table, once any did. The
+    message of the first fatal control row, which was redacted when it was made, is the error that
+    stopped the run. Symbols are counted here; the list itself is ``quality.coverage``,
     which grows with the universe and so stays a table.
     """
     # One row per run and stream first: the map below holds at most the three streams.
@@ -53,10 +82,21 @@ def manifests(
         "run_id", "component"
     ).agg(F.count(F.lit(1)).alias("symbols"))
     seen = _per_stream(covered, "component", "symbols", "symbols_seen")
+    turns = effects.groupBy("run_id").agg(
+        F.coalesce(F.max(F.col("event_type") == "streams_ready"), F.lit(False)).alias("streams_ready"),
+        (
+            F.min_by("message", F.when(F.col("fatal_reason").isNotNull(), F.col("event_id")))
+            if "message" in effects.columns
+            else F.lit(None).cast("string")
+        ).alias("fatal_error"),
+    )
+    readiness = _first_events(events, configured)
     verdict = quality.run_summary(effects, require_ready=require_ready)
     table = (
         span.join(verdict, "run_id", "left")
         .join(seen, "run_id", "left")
+        .join(turns, "run_id", "left")
+        .join(readiness, "run_id", "left")
     )
     if parts is not None:
         written = parts.groupBy("run_id", "source").agg(
@@ -72,6 +112,15 @@ def manifests(
     built = table.withColumns(
         {
             "schema_version": F.lit(schemas.SCHEMA_VERSION).cast("bigint"),
+            "engine_version": F.lit(schemas.ENGINE_VERSION),
+            "streams_ready": F.coalesce("streams_ready", F.lit(False)),
+            "first_events_seen": F.create_map(
+                *(
+                    x
+                    for name in COMPONENTS
+                    for x in (F.lit(name), F.coalesce(F.col(f"_seen_{name}"), F.lit(False)))
+                )
+            ),
             "status": F.coalesce("status", F.lit("failed")),
             "stop_reason": F.when(F.col("status").isNull(), quality.NOT_READY).otherwise(
                 F.col("stop_reason")
@@ -111,13 +160,16 @@ def write_manifests(rows: DataFrame, root: str) -> None:
 
 def write_marker(spark: SparkSession, root: str, run_id: str, status: str) -> str:
     """Create the completion marker of one run; fails if the run already has one."""
-    names = dict(quality.MARKERS)
+    known = lake.scan_markers(spark, root).where(F.col("run_id") == run_id).first()
+    if known is not None:
+        raise FileExistsError(f"run {run_id} already carries {known['marker']}")
+    return place_marker(spark, root, run_id, status)
+
+
+def place_marker(spark: SparkSession, root: str, run_id: str, status: str) -> str:
+    """Create a marker file beside the run's manifest, whatever other markers there are."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = f"{root.rstrip('/')}/_runs/run={run_id}"
-    system = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for name in names.values():
-        if system.exists(hadoop.Path(f"{folder}/{name}")):
-            raise FileExistsError(f"run {run_id} already carries {name}")
-    path = hadoop.Path(f"{folder}/{names[status]}")
+    path = hadoop.Path(f"{root.rstrip('/')}/_runs/run={run_id}/{dict(lake.MARKERS)[status]}")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.create(path, False).close()
     return path.toString()

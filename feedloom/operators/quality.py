@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions import payload
 from feedloom.operators.sequence import base_status
-
-# Verdicts of a run and the marker each leaves behind.
-MARKERS = [("complete", "_SUCCESS"), ("degraded", "_DEGRADED"), ("failed", "_FAILED")]
+from feedloom.sources.lake import MARKERS
 
 NOT_READY = "streams_not_ready"
 
@@ -28,7 +26,7 @@ def degraded_reason(component: Column, event_type: Column, severity: Column, epo
         .when(event_type == "server_error", F.concat(component, F.lit("_server_error")))
         .when(event_type == "disconnect_detected",
               F.concat(component, F.lit("_connection_interrupted")))
-        .when(event_type.isin("feed_stale", "feed_stale_retry"),
+        .when(event_type.isin("feed_stale", "feed_stale_retry", "feed_stale_detected"),
               F.concat(component, F.lit("_feed_stale")))
         .when(bad_step, F.concat(F.lit("tbt_"), event_type))
         .when((event_type == "sequence_after_reconnect") & base.isin("gap", "regression"),

@@ -28,7 +28,7 @@ def depth_length_check(spark, sf):
 def depth_coerce(spark, sf):
     """Vectors as book sides: text levels, every negative one blanked, back to numbers."""
     side = F.transform(
-        F.slice("embedding", 1, 50), lambda x: F.when(x >= 0, x.cast("double").cast("string"))
+        "embedding", lambda x: F.when(x >= 0, x.cast("double").cast("string"))
     )
     levels = coerce.double_levels(side)
     return table(spark, sf, "embeddings").select(
@@ -296,7 +296,7 @@ QUERIES = {
 SELECT event_id, CASE WHEN full_book THEN 'kept' ELSE 'quarantined' END AS verdict FROM books"""),
     "depth_coerce": (depth_coerce, """
 SELECT vec_id, place - 1 AS place, CASE WHEN x >= 0 THEN x::DOUBLE ELSE 0.0 END AS price
-FROM (SELECT vec_id, unnest(embedding[1:50]) AS x, generate_subscripts(embedding[1:50], 1) AS place
+FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS place
       FROM embeddings)"""),
     "normalize_depth": (normalize_depth, BOOKS_VIEW + f"""
 SELECT run_id, event_id, 'tbt_depth' AS source, symbol, '1' AS channel, k AS total_buy_qty,

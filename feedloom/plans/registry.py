@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom.plans import depth, quotes, runs, store
+from feedloom.plans import depth, live, quotes, runs, store
 from feedloom.session import prepare
 
-_MODULES = (quotes, depth, runs, store)
+_MODULES = (quotes, depth, runs, live, store)
 
 
 def _prepared(build: Callable[[SparkSession, str], DataFrame]):

@@ -142,9 +142,13 @@ def run_manifest(spark, sf):
     """Manifests of the event runs; maps and lists are spelled out as text for comparison."""
     built = manifest.manifests(
         feeds.seen_events(spark, sf), _recorded(spark, sf), settings=SETTINGS,
+        configured=feeds.configured_per_run(spark, sf),
         secret_names=("token",), require_ready=False,
     )
     return built.select(
+        F.col("first_events_seen")["data"].alias("all_data"),
+        F.col("first_events_seen")["tbt"].alias("all_tbt"),
+        "streams_ready", "fatal_error",
         "schema_version", "run_id", "status", "clean_shutdown", "stop_reason",
         "started_at_unix_ns", "ended_at_unix_ns",
         F.array_join("degraded_reasons", ",").alias("degraded_reasons"),
@@ -175,16 +179,28 @@ spans_of AS (
          max(r.ended_at_ns), true
   FROM seen s JOIN spans r USING (run_id) GROUP BY ALL
   UNION ALL
-  SELECT e.run_id, e.component, e.symbol_upper, NULL, r.ended_at_ns, true
+  SELECT e.run_id, e.component, e.symbol_upper, NULL, coalesce(f.first_ns, r.ended_at_ns),
+         f.first_ns IS NULL
   FROM expected e JOIN spans r USING (run_id)
-  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.run_id = e.run_id AND s.component = e.component
-    AND s.symbol_upper = e.symbol_upper)),
+  LEFT JOIN (SELECT run_id, component, symbol_upper, min(received_at_unix_ns) AS first_ns
+             FROM seen GROUP BY ALL) f USING (run_id, component, symbol_upper)),
 silences AS (
   SELECT o.run_id, o.component, o.symbol_upper, o.silent_from_ns, o.silent_until_ns, o.open_ended,
          greatest(coalesce(o.silent_from_ns + {feeds.STALE_SECONDS * _NS}, r.ready_at_ns), r.ready_at_ns)
            AS stale_at_ns
   FROM spans_of o JOIN spans r USING (run_id))"""
 _T = feeds.STALE_SECONDS * _NS
+OUTAGES_SQL = """turns AS (
+  SELECT *, lag(event_type) OVER w AS previous,
+         first_value(CASE WHEN event_type = 'socket_open' THEN received_at_unix_ns END IGNORE NULLS)
+           OVER (PARTITION BY run_id, connection_key ORDER BY event_id
+                 ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS up_at_ns
+  FROM control WINDOW w AS (PARTITION BY run_id, connection_key ORDER BY event_id)),
+found AS (
+  SELECT t.*, coalesce(up_at_ns, r.ended_at_ns) - received_at_unix_ns AS outage_ns
+  FROM turns t JOIN spans r USING (run_id)
+  WHERE event_type = 'socket_close' AND previous = 'socket_open')"""
+STALE_SQL = SEEN_VIEW.rstrip() + ",\n" + _SILENCES
 _CONNECTION = "run_id, component, connection_key"
 RETRIES_VIEW = (
     SEEN_VIEW.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n" + _SILENCES + f""",
@@ -239,17 +255,7 @@ EXCEPT SELECT run_id, kind, upper({feeds.SYMBOL_SQL}) FROM ticks"""),
     "stale_feeds": (stale_feeds, SEEN_VIEW.rstrip() + ",\n" + _SILENCES + """
 SELECT * FROM silences WHERE stale_at_ns <= silent_until_ns"""),
     "stale_attempts": (stale_attempts, RETRIES_VIEW + "SELECT * FROM turns_of"),
-    "outages": (outages, with_sql(TICKS_SQL, CONTROL_SQL, SPANS_SQL) + f"""
-, turns AS (
-  SELECT *, lag(event_type) OVER w AS previous,
-         first_value(CASE WHEN event_type = 'socket_open' THEN received_at_unix_ns END IGNORE NULLS)
-           OVER (PARTITION BY run_id, connection_key ORDER BY event_id
-                 ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS up_at_ns
-  FROM control WINDOW w AS (PARTITION BY run_id, connection_key ORDER BY event_id)),
-found AS (
-  SELECT t.*, coalesce(up_at_ns, r.ended_at_ns) - received_at_unix_ns AS outage_ns
-  FROM turns t JOIN spans r USING (run_id)
-  WHERE event_type = 'socket_close' AND previous = 'socket_open')
+    "outages": (outages, with_sql(TICKS_SQL, CONTROL_SQL, SPANS_SQL) + ", " + OUTAGES_SQL + f"""
 SELECT run_id, connection_key, component, event_id, received_at_unix_ns AS down_at_ns, up_at_ns,
        outage_ns, outage_ns >= {feeds.GRACE_SECONDS * _NS} AS timed_out,
        CASE WHEN outage_ns >= {feeds.GRACE_SECONDS * _NS} THEN component || '_disconnect_timeout' END
@@ -317,5 +323,10 @@ SELECT 1 AS schema_version, s.run_id,
        count(DISTINCT symbol_upper) FILTER (WHERE component = 'data') AS symbols_data,
        count(DISTINCT symbol_upper) FILTER (WHERE component = 'tbt') AS symbols_tbt,
        (SELECT max(epoch) FROM opened o WHERE o.run_id = s.run_id AND o.component = 'data') AS epoch_data,
-       '<redacted>' AS token, 'Asia/Kolkata' AS zone
+       '<redacted>' AS token, 'Asia/Kolkata' AS zone,
+       count(DISTINCT symbol_upper) FILTER (WHERE component = 'data')
+         = (SELECT count(DISTINCT user_id) FROM ticks) AS all_data,
+       count(DISTINCT symbol_upper) FILTER (WHERE component = 'tbt')
+         = (SELECT count(DISTINCT user_id) FROM ticks) AS all_tbt,
+       false AS streams_ready, NULL AS fatal_error
 FROM seen s LEFT JOIN per_run p USING (run_id) GROUP BY s.run_id""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedloom import schemas
 from feedloom.functions import clock
-from feedloom.operators import archive, manifest, normalize, quality
+from feedloom.operators import archive, manifest, normalize, quality, replay
 from feedloom.plans import feeds, runs
 from feedloom.plans.depth import STATUS_SQL, depth_core
 from feedloom.plans.feeds import (
@@ -228,6 +228,35 @@ def scan_manifests(spark, sf):
     )
 
 
+def run_catalogue(spark, sf):
+    """Rows of each run that replay takes or refuses, by the markers that lie in the lake.
+
+    The first run left no marker, the last two of them; the others have what their manifests say.
+    """
+    root, seen = shared_dir(spark, "lake"), feeds.seen_events(spark, sf)
+    built = manifest.manifests(
+        seen, quality.with_effects(
+            feeds.control_core(spark, sf).withColumn("connection_epoch", F.lit(1))
+        ),
+        settings=runs.SETTINGS, secret_names=("token",), require_ready=False,
+    )
+    manifest.write_manifests(built, root)
+    ended = lake.scan_manifests(spark, root).orderBy("run_id").select("run_id", "status").collect()
+    for row in ended[1:]:  # One row per run.
+        manifest.write_marker(spark, root, row["run_id"], row["status"])
+    for row in ended[-1:]:
+        manifest.place_marker(spark, root, row["run_id"], "failed")
+    known = lake.scan_runs(spark, root)
+    taken = replay.trusted(seen, known).withColumn("taken", F.lit(True))
+    refused = replay.quarantined(seen, known).withColumn("taken", F.lit(False))
+    return (
+        taken.unionByName(refused)
+        .groupBy("run_id", "taken")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .join(known.select("run_id", "status"), "run_id")
+    )
+
+
 BUCKET, PREFIX, ENDPOINT = "lake-copies", "copies/contracts", "https://objects.example"
 
 
@@ -431,6 +460,17 @@ SELECT s.run_id, CASE WHEN max(p.reasons) IS NULL THEN 'complete' ELSE 'degraded
        count(DISTINCT symbol_upper) FILTER (WHERE component = 'data') AS symbols_data,
        '<redacted>' AS token
 FROM seen s LEFT JOIN per_run p USING (run_id) GROUP BY s.run_id"""),
+    "run_catalogue": (run_catalogue, with_sql(TICKS_SQL, CONTROL_SQL, feeds.SEEN_SQL) + """
+, per_run AS (
+  SELECT s.run_id, count(*) AS rows, row_number() OVER (ORDER BY s.run_id) AS place,
+         count(*) OVER () AS runs,
+         EXISTS (SELECT 1 FROM control c WHERE c.run_id = s.run_id
+           AND event_type = 'socket_close' AND severity = 'WARNING') AS closed
+  FROM seen s GROUP BY s.run_id)
+SELECT run_id, rows, place > 1 AND place < runs AS taken,
+       CASE WHEN place = 1 THEN 'unfinished' WHEN place = runs THEN 'ambiguous'
+            WHEN closed THEN 'degraded' ELSE 'complete' END AS status
+FROM per_run"""),
     "archive_date": (archive_date, QUOTE_VIEW + f"""
 , days AS (SELECT trading_date, count(*) AS n FROM {_DATED} GROUP BY 1)
 SELECT trading_date, n AS rows, n AS rows_copied, 'verified' AS upload_status FROM days

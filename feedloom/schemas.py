@@ -16,15 +16,22 @@ SEQUENCE_TYPE = T.DecimalType(20, 0)
 SYMBOL_UPDATE = "symbol_update"
 TBT_DEPTH = "tbt_depth"
 CONTROL = "control"
+ENGINE_VERSION = "0.3"
 # What the depth query writes beside its rows: its own control rows, and the books it refused.
 DEPTH_CONTROL = "depth_control"
 REFUSED_DEPTH = "refused_depth"
+# Control rows that live health writes: of symbols, and of connections.
+HEALTH_CONTROL = "health_control"
+OUTAGE_CONTROL = "outage_control"
+CONTROL_STREAMS = (CONTROL, DEPTH_CONTROL, HEALTH_CONTROL, OUTAGE_CONTROL)
 STREAM_DIRECTORIES = {
     "control": "control",
     "symbol_update": "symbolupdate",
     "tbt_depth": "tbtdepth",
     "depth_control": "controldepth",
     "refused_depth": "refuseddepth",
+    "health_control": "controlhealth",
+    "outage_control": "controloutage",
 }
 
 
@@ -139,6 +146,9 @@ DEPTH_MESSAGES = T.StructType(
     + [T.StructField("message", BOOK_MESSAGE, True)]
 )
 STREAMS |= {DEPTH_CONTROL: CONTROL_EVENTS, REFUSED_DEPTH: DEPTH_MESSAGES}
+STREAMS |= {HEALTH_CONTROL: CONTROL_EVENTS, OUTAGE_CONTROL: CONTROL_EVENTS}
+# Depth rows as the live query stores them: one that came behind a later id of its symbol is late.
+RECORDED_DEPTH = T.StructType(DEPTH.fields + [T.StructField("late", T.BooleanType(), True)])
 LIFECYCLE_MESSAGES = T.StructType(
     ARRIVAL.fields + _optional("component kind payload", T.StringType())
 )

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,15 +14,107 @@ from pyspark.sql import types as T
 from feedloom import schemas
 
 UNFINISHED = ".inprogress"
+# Verdicts of a run and the marker each leaves behind.
+MARKERS = [("complete", "_SUCCESS"), ("degraded", "_DEGRADED"), ("failed", "_FAILED")]
+MARKER_NAMES = [marker for _, marker in MARKERS]
+OWNER = "_owner"  # Note in a stream's folder; readers of Parquet pass over it.
 
 
 def stream_path(root: str, stream: str) -> str:
     return f"{root.rstrip('/')}/{schemas.STREAM_DIRECTORIES[stream]}"
 
 
-def scan_parts(spark: SparkSession, root: str, stream: str) -> DataFrame:
-    """A stream of this lake, partitioned by ``trading_date``; dates prune directories."""
-    return spark.read.schema(schemas.STREAMS[stream]).parquet(stream_path(root, stream))
+def on_files(spark: SparkSession, name: str):
+    """The file system that holds a path, and the path."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def owner(spark: SparkSession, folder: str) -> dict | None:
+    """Which query writes a folder: its ``checkpoint``, and whether ``by_batch``; None if unknown."""
+    files, path = on_files(spark, f"{folder}/{OWNER}")
+    if not files.exists(path):
+        return None
+    note = files.open(path)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(note, "UTF-8"))
+    finally:
+        note.close()
+
+
+def claim(spark: SparkSession, folder: str, checkpoint: str, by_batch: bool) -> None:
+    """Take a folder for the query with this checkpoint; raise if it is another's.
+
+    The note is created only if it is not there yet, so of two queries started together one fails.
+    A folder that was written before there were notes belongs to the query that has a checkpoint.
+    """
+    files, path = on_files(spark, f"{folder}/{OWNER}")
+    known = owner(spark, folder)
+    if known is None:
+        begun, _ = on_files(spark, checkpoint)
+        offsets = on_files(spark, f"{checkpoint}/offsets")[1]
+        if files.exists(path.getParent()) and not begun.exists(offsets):
+            raise ValueError(f"{folder} is from a query with another checkpoint")
+        note = json.dumps({"checkpoint": checkpoint, "by_batch": by_batch})
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in str(error.java_exception):
+                raise
+        else:
+            out.write(bytearray(note, "utf-8"))
+            out.close()
+            return
+        known = owner(spark, folder)
+    if known["checkpoint"] != checkpoint:
+        raise ValueError(f"{folder} is from a query with another checkpoint")
+
+
+def last_commit(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last batch that a query has finished; -1 before the first."""
+    files, path = on_files(spark, f"{checkpoint}/commits")
+    if not files.exists(path):
+        return -1
+    names = [entry.getPath().getName() for entry in files.listStatus(path)]
+    return max((int(name) for name in names if name.isdigit()), default=-1)
+
+
+def committed(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows of finished batches only, where a query writes the folder batch by batch.
+
+    Such a query writes several folders; a batch counts in all of them or in none, as its number is
+    committed after the last is written. Batches prune directories.
+    """
+    known = owner(rows.sparkSession, folder)
+    if known is None or not known["by_batch"]:
+        return rows
+    if "batch" not in rows.columns:  # Nothing but the note is there yet.
+        return rows
+    return rows.where(F.col("batch") <= last_commit(rows.sparkSession, known["checkpoint"]))
+
+
+def scan_parts(
+    spark: SparkSession, root: str, stream: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A stream of this lake, partitioned by ``trading_date``; dates prune directories.
+
+    Of a folder written batch by batch only finished batches are seen, with their ``batch``.
+    """
+    folder = stream_path(root, stream)
+    return committed(spark.read.schema(schema or schemas.STREAMS[stream]).parquet(folder), folder)
+
+
+def scan_control(spark: SparkSession, root: str) -> DataFrame:
+    """Control rows of all producers: lifecycle, depth, live health; those that are there."""
+    names = schemas.CONTROL_EVENTS.fieldNames()
+    found = []
+    for stream in schemas.CONTROL_STREAMS:
+        files, path = on_files(spark, stream_path(root, stream))
+        if files.exists(path):
+            found.append(scan_parts(spark, root, stream).select(*names))
+    if not found:
+        return spark.createDataFrame([], schemas.CONTROL_EVENTS)
+    return reduce(DataFrame.unionByName, found)
 
 
 def scan_dated_parts(spark: SparkSession, root: str, stream: str, dates: str = "*") -> DataFrame:
@@ -45,6 +142,50 @@ def scan_manifests(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def scan_markers(spark: SparkSession, root: str) -> DataFrame:
+    """Completion markers as they lie beside the manifests: ``run_id, marker``.
+
+    Marker names begin like hidden files, which every reader passes over, so the file system is
+    asked for them by one pattern. The driver holds a name per run that ended, as many as there
+    were starts of the recorder; no file is opened.
+    """
+    files, path = on_files(spark, f"{root.rstrip('/')}/_runs/run=*/_*")
+    found = [entry.getPath() for entry in files.globStatus(path) or []]
+    rows = [
+        (unquote(place.getParent().getName().split("=", 1)[1]), place.getName())
+        for place in found
+        if place.getName() in MARKER_NAMES
+    ]
+    return spark.createDataFrame(rows, "run_id string, marker string")
+
+
+def scan_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Every run that left a manifest or a marker, and the status that its markers prove.
+
+    A run without a marker did not end: ``unfinished``, whatever its manifest says. One with more
+    than one marker is ``ambiguous``; one whose marker and manifest disagree is as well.
+    """
+    status = F.when(F.lit(False), F.lit(""))
+    for name, marker in MARKERS:
+        status = status.when(F.col("_marker") == marker, F.lit(name))
+    proofs = scan_markers(spark, root).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("_markers"), F.min("marker").alias("_marker")
+    )
+    return (
+        scan_manifests(spark, root)
+        .withColumnRenamed("status", "_said")
+        .join(proofs, "run_id", "full_outer")
+        .withColumn("_proved", status)
+        .withColumn(
+            "status",
+            F.when(F.col("_markers").isNull(), "unfinished")
+            .when((F.col("_markers") > 1) | (F.col("_said") != F.col("_proved")), "ambiguous")
+            .otherwise(F.col("_proved")),
+        )
+        .drop("_said", "_proved", "_marker", "_markers")
+    )
+
+
 def scan_receipts(spark: SparkSession, root: str) -> DataFrame:
     """Upload receipts; an unreadable receipt is no receipt."""
     schema = T.StructType(

@@ -1,4 +1,10 @@
-"""Live feed health: silent symbols on a running stream, and counters of what arrived."""
+"""Live feed health: silent and missing symbols, lost connections, and counters of what arrived.
+
+Two stateful operators watch a running stream: one per configured symbol, one per connection. Each
+tells what the rows themselves show, and has a timer for what only their absence shows. Lifecycle
+rows give each run its clocks: ``sockets_ready`` starts the wait for first events and
+``streams_ready`` the watch for silence, on every configured symbol, whether it ever arrives or not.
+"""
 
 from __future__ import annotations
 
@@ -8,57 +14,474 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from feedloom.operators.health import STALE_TIMEOUT
+from feedloom import schemas
+from feedloom.operators import normalize
+from feedloom.operators.health import (
+    COMPONENTS, DISCONNECT_GRACE, FIRST_EVENT_TIMEOUT, STALE_TIMEOUT, members,
+)
+from feedloom.operators.joins import sized_broadcast
+from feedloom.sources.lake import claim, stream_path
+from feedloom.streaming.sinks import write_batch
 
 KEYS = ["run_id", "component", "symbol_upper"]
-_OUTPUT = "run_id string, component string, symbol_upper string, event_type string, last_received_ns long"
-_STATE = "last_received_ns long, stale boolean"
+CONNECTION = ["run_id", "component", "connection_key"]
+_NS, _MS = 1_000_000_000, 1_000_000
+#: Lifecycle rows by which a run's symbols are watched, and no longer watched.
+OPENED, READY, ENDED = "sockets_ready", "streams_ready", "process_stop_requested"
+_TOLD = "event_type string, at_ns long, last_received_ns long, event_id long"
+_SYMBOL_TOLD = f"run_id string, component string, symbol_upper string, {_TOLD}"
 
 
-def _latest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Last receipt per symbol within each Arrow batch, so that a hot symbol shuffles little."""
-    for batch in batches:
-        yield batch.groupby(KEYS, as_index=False)["received_at_unix_ns"].max()
+class SymbolWatch:
+    """What is known of one symbol of a run; ``told`` collects what is to be said."""
 
+    FIELDS = "opened_ns long, ready_ns long, last_ns long, last_id long, gate_told boolean, stale boolean"
 
-def live_staleness(events: DataFrame, *, timeout_seconds: int = STALE_TIMEOUT) -> DataFrame:
-    """Stream of ``feed_stale`` when a symbol falls silent and ``feed_fresh`` when it returns.
+    def __init__(self, timeout: int, gate: int, state: tuple | None = None) -> None:
+        self.timeout, self.gate = timeout, gate
+        (self.opened, self.ready, self.last, self.last_id, self.gate_told, self.stale) = (
+            state or (None, None, None, None, False, False)
+        )
+        self.told: list[tuple[str, int, int | None, int | None]] = []
+
+    def state(self) -> tuple:
+        return self.opened, self.ready, self.last, self.last_id, self.gate_told, self.stale
+
+    def _tell(self, event_type: str, at: int) -> None:
+        self.told.append((event_type, at, self.last, self.last_id))
+
+    def gate_at(self) -> int | None:
+        """When the wait for the first event is over; None if it is or was never on."""
+        if self.opened is None or self.last is not None or self.gate_told or self.gate <= 0:
+            return None
+        return self.opened + self.gate
+
+    def stale_at(self) -> int | None:
+        """When the symbol turns stale unless it arrives; None if it is already or not watched."""
+        if self.ready is None or self.stale or self.timeout <= 0:
+            return None
+        return self.ready if self.last is None else max(self.last + self.timeout, self.ready)
+
+    def due(self, now: int) -> None:
+        """Tell what has come to pass up to ``now``."""
+        gate = self.gate_at()
+        if gate is not None and now > gate:
+            self._tell("first_event_missing", gate)
+            self.gate_told = True
+        stale = self.stale_at()
+        if stale is not None and now >= stale:
+            self._tell("feed_stale", stale)
+            self.stale = True
+
+    def lifecycle(self, kind: str, at: int) -> None:
+        if kind == OPENED and self.opened is None:
+            self.opened = at
+        elif kind == READY and self.ready is None:
+            self.ready = at
+
+    def receipts(self, first: int, last: int, event_id: int) -> None:
+        """Receipts from ``first`` to ``last``, none a timeout after the one before it."""
+        self.due(first)
+        late = self.last is not None and last < self.last
+        self.last = last if self.last is None else max(self.last, last)
+        self.last_id = event_id if self.last_id is None else max(self.last_id, event_id)
+        if self.stale and not late:
+            self._tell("feed_fresh", first)
+            self.stale = False
+
+    def next_at(self) -> int | None:
+        pending = [at for at in (self.gate_at(), self.stale_at()) if at is not None]
+        return min(pending, default=None)
+
+
+class ConnectionWatch:
+    """What is known of one connection of a run."""
+
+    FIELDS = "up boolean, down_ns long, last_id long, timed_out boolean"
+
+    def __init__(self, grace: int, state: tuple | None = None) -> None:
+        self.grace = grace
+        self.up, self.down, self.last_id, self.timed_out = state or (False, None, None, False)
+        self.told: list[tuple[str, int, int | None, int | None]] = []
+
+    def state(self) -> tuple:
+        return self.up, self.down, self.last_id, self.timed_out
+
+    def due(self, now: int) -> None:
+        at = self.next_at()
+        if at is not None and now >= at:
+            self.told.append(("disconnect_timeout", at, self.down, self.last_id))
+            self.timed_out = True
+
+    def turn(self, kind: str, at: int, event_id: int) -> None:
+        """A connection that opens, closes, or is closed for a retry."""
+        self.due(at)
+        self.last_id = event_id
+        if kind == "socket_open":
+            self.up, self.down, self.timed_out = True, None, False
+        elif self.up:
+            self.up, self.down, self.timed_out = False, at, False
+            self.told.append(("disconnect_detected", at, at, event_id))
+
+    def next_at(self) -> int | None:
+        return None if self.down is None or self.timed_out else self.down + self.grace
+
+
+def _rows(key: tuple[Any, ...], names: list[str], told: list[tuple]) -> pd.DataFrame:
+    columns = [*names, "event_type", "at_ns", "last_received_ns", "event_id"]
+    frame = pd.DataFrame([(*key, *row) for row in told], columns=columns)
+    return frame.astype({"at_ns": "Int64", "last_received_ns": "Int64", "event_id": "Int64"})
+
+
+def _optional(values: tuple) -> tuple:
+    return tuple(None if pd.isna(x) else x for x in values)
+
+
+def _schedule(state: GroupState, at: int | None, by_event_time: bool) -> None:
+    if at is None:
+        return
+    if by_event_time:
+        # A timer must lie beyond the watermark; one that is due fires with the next batch.
+        state.setTimeoutTimestamp(max(-(-at // _MS), state.getCurrentWatermarkMs() + 1))
+    else:
+        state.setTimeoutDuration(max(1, -(-at // _MS) - state.getCurrentProcessingTimeMs()))
 
-    Uses processing-time timers: silence is noticed although no row arrives. A timeout of zero
-    switches the check off.
+
+def _now(state: GroupState, by_event_time: bool) -> int:
+    ms = state.getCurrentWatermarkMs() if by_event_time else state.getCurrentProcessingTimeMs()
+    return ms * _MS
+
+
+def _stretches(timeout_ns: int):
+    """Receipts of a symbol within an Arrow batch as stretches without a gap of the timeout.
+
+    Stretches of several batches merge, receipts would not if only some of them were kept; a hot
+    symbol shuffles a few rows a batch, however many receipts it has.
     """
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ordered = batch.sort_values([*KEYS, "received_at_unix_ns"], kind="stable")
+            gap = ordered.groupby(KEYS, dropna=False)["received_at_unix_ns"].diff()
+            ordered["_n"] = (gap.isna() | (gap >= max(timeout_ns, 1))).cumsum()
+            out = ordered.groupby([*KEYS, "_n"], dropna=False, as_index=False).agg(
+                from_ns=("received_at_unix_ns", "min"), to_ns=("received_at_unix_ns", "max"),
+                event_id=("event_id", "max"),
+            )
+            yield out.assign(kind="receipt")[[*KEYS, "kind", "from_ns", "to_ns", "event_id"]]
+
+    return reduce
+
+
+_WATCHED = "run_id string, component string, symbol_upper string, kind string, from_ns long, to_ns long, event_id long"
+
+
+def _timeouts(by_event_time: bool) -> str:
+    return (
+        GroupStateTimeout.EventTimeTimeout if by_event_time else GroupStateTimeout.ProcessingTimeTimeout
+    )
+
+
+def _timed(rows: DataFrame, ns: str, lateness: str | None) -> DataFrame:
+    if lateness is None:
+        return rows
+    return rows.withColumn("_time", F.timestamp_micros(F.call_function("div", F.col(ns), F.lit(1000)))).withWatermark(
+        "_time", lateness
+    )
+
+
+def _symbol_watch(timeout: int, gate: int, by_event_time: bool, always: bool = False):
+    """The state function of symbols; ``always``: no lifecycle row is needed to watch one."""
     def watch(
         key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
+        known = SymbolWatch(timeout, gate, _optional(state.get) if state.exists else None)
+        ended = False
+        if always:
+            known.lifecycle(READY, 0)
         if state.hasTimedOut:
-            last, _ = state.get
-            state.update((last, True))
-            yield _row(key, "feed_stale", last)
-            return
-        latest = max(int(frame["received_at_unix_ns"].max()) for frame in frames)
-        last, stale = state.get if state.exists else (latest, False)
-        state.update((max(latest, last), False))
-        if timeout_seconds > 0:
-            state.setTimeoutDuration(timeout_seconds * 1000)
-        if stale:
-            yield _row(key, "feed_fresh", latest)
-
-    narrow = events.where(F.col("symbol").isNotNull()).select(
-        "run_id", "component", F.upper("symbol").alias("symbol_upper"), "received_at_unix_ns"
+            known.due(_now(state, by_event_time))
+        else:
+            rows = [row for frame in frames for row in zip(*(frame[c] for c in ("from_ns", "kind", "to_ns", "event_id")))]
+            if always and known.last is None:
+                known.last = min(int(row[0]) for row in rows)
+            # At one moment the run's own turns come before receipts.
+            for first, kind, last, event_id in sorted(rows, key=lambda r: (r[0], r[1] == "receipt")):
+                if kind == "receipt":
+                    known.receipts(int(first), int(last), int(event_id))
+                elif kind == ENDED:
+                    known.due(int(first))
+                    ended = True
+                else:
+                    known.lifecycle(kind, int(first))
+        if ended:
+            state.remove()
+        else:
+            state.update(known.state())
+            _schedule(state, known.next_at(), by_event_time)
+        if known.told:
+            yield _rows(key, KEYS, known.told)
+
+    return watch
+
+
+def _receipts(events: DataFrame, timeout: int) -> DataFrame:
+    return events.where(F.col("symbol").isNotNull()).select(
+        "run_id", "component", F.upper("symbol").alias("symbol_upper"), "event_id",
+        "received_at_unix_ns",
+    ).mapInPandas(_stretches(timeout), _WATCHED)
+
+
+def live_staleness(events: DataFrame, *, timeout_seconds: int = STALE_TIMEOUT) -> DataFrame:
+    """``feed_stale`` and ``feed_fresh`` of every symbol that ever arrives, from its first receipt on.
+
+    For streams without lifecycle rows or a universe; ``live_symbols`` knows both.
+    """
+    timeout = timeout_seconds * _NS
+    known = events if "event_id" in events.columns else events.withColumn("event_id", F.lit(0).cast("long"))
+    return (
+        _receipts(known, timeout)
+        .groupBy(*KEYS)
+        .applyInPandasWithState(
+            _symbol_watch(timeout, 0, False, always=True), _SYMBOL_TOLD, SymbolWatch.FIELDS,
+            "append", _timeouts(False),
+        )
+        .select(*KEYS, "event_type", "last_received_ns")
+    )
+
+
+def live_symbols(
+    events: DataFrame,
+    lifecycle: DataFrame,
+    configured: DataFrame,
+    *,
+    timeout_seconds: int = STALE_TIMEOUT,
+    first_event_seconds: int = FIRST_EVENT_TIMEOUT,
+    components: tuple[str, ...] = COMPONENTS,
+    lateness: str | None = None,
+) -> DataFrame:
+    """Stream of what becomes of the configured symbols of each run.
+
+    ``feed_stale`` when one falls silent, or has not come when the streams are ready;
+    ``feed_fresh`` when it returns; ``first_event_missing`` when the wait for its first event is
+    over. ``at_ns`` is when it came to pass, not when it was noticed; ``event_id`` the last one
+    seen of the symbol. ``events`` and ``lifecycle`` are streams, ``configured`` is a table of
+    ``run_id, symbol_upper, connection_key``. A timeout of zero switches its check off.
+
+    Timers follow the wall clock, so silence is noticed although no row arrives. With ``lateness``
+    they follow the stamps of the rows instead, for replays; rows later than that are not seen.
+    The state of a run is dropped when the run is told to stop.
+    """
+    timeout, gate = timeout_seconds * _NS, first_event_seconds * _NS
+    by_event_time = lateness is not None
+
+    receipts = _receipts(events, timeout)
+    everyone = sized_broadcast(members(configured, components).drop("connection_key").distinct())
+    turns = (
+        lifecycle.where(F.col("event_type").isin(OPENED, READY, ENDED))
+        .select("run_id", F.col("event_type").alias("kind"), "received_at_unix_ns", "event_id")
+        .join(everyone, "run_id")
+        .select(
+            *KEYS, "kind", F.col("received_at_unix_ns").alias("from_ns"),
+            F.col("received_at_unix_ns").alias("to_ns"), "event_id",
+        )
     )
     return (
-        narrow.mapInPandas(_latest, narrow.schema)
+        _timed(receipts.unionByName(turns), "to_ns", lateness)
         .groupBy(*KEYS)
         .applyInPandasWithState(
-            watch, _OUTPUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+            _symbol_watch(timeout, gate, by_event_time), _SYMBOL_TOLD, SymbolWatch.FIELDS,
+            "append", _timeouts(by_event_time),
         )
     )
 
 
-def _row(key: tuple[Any, ...], event_type: str, last: int) -> pd.DataFrame:
-    return pd.DataFrame([(*key, event_type, last)], columns=[*KEYS, "event_type", "last_received_ns"])
+def live_outages(
+    lifecycle: DataFrame, *, grace_seconds: int = DISCONNECT_GRACE, lateness: str | None = None
+) -> DataFrame:
+    """Stream of ``disconnect_detected`` and ``disconnect_timeout`` per connection.
+
+    ``lifecycle`` is the stream of control rows with ``connection_key``. An open connection that
+    closes, or is closed for a stale retry, is lost until it opens again; after the grace period
+    it has timed out. Turns of one micro-batch are taken in the order of their ids, the run's end
+    (``process_stop_requested`` with the connection's key) last; it drops the state.
+    """
+    grace = grace_seconds * _NS
+    by_event_time = lateness is not None
+
+    def watch(
+        key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        known = ConnectionWatch(grace, _optional(state.get) if state.exists else None)
+        ended = False
+        if state.hasTimedOut:
+            known.due(_now(state, by_event_time))
+        else:
+            rows = [row for frame in frames for row in zip(*(frame[c] for c in ("event_id", "event_type", "received_at_unix_ns")))]
+            for event_id, kind, at in sorted(rows, key=lambda r: (r[1] == ENDED, r[0])):
+                if kind == ENDED:
+                    known.due(int(at))
+                    ended = True
+                else:
+                    known.turn(kind, int(at), int(event_id))
+        if ended:
+            state.remove()
+        else:
+            state.update(known.state())
+            _schedule(state, known.next_at(), by_event_time)
+        if known.told:
+            yield _rows(key, CONNECTION, known.told)
+
+    turns = lifecycle.where(
+        F.col("event_type").isin("socket_open", "socket_close", "feed_stale_retry", ENDED)
+        & F.col("connection_key").isNotNull()
+    ).select(*CONNECTION, "event_id", "event_type", "received_at_unix_ns")
+    return (
+        _timed(turns, "received_at_unix_ns", lateness)
+        .groupBy(*CONNECTION)
+        .applyInPandasWithState(
+            watch, f"run_id string, component string, connection_key string, {_TOLD}",
+            ConnectionWatch.FIELDS, "append", _timeouts(by_event_time),
+        )
+    )
+
+
+def gate_control(told: DataFrame, first_event_seconds: int) -> DataFrame:
+    """One ``first_event_timeout`` row per run from the symbols that were missing at its gate.
+
+    All symbols of a run have one deadline, so they are told of in one micro-batch. Symbols are
+    gathered by component, at most the configured ones.
+    """
+    missing = told.where(F.col("event_type") == "first_event_missing")
+    by_component = missing.groupBy("run_id", "component").agg(
+        F.array_sort(F.collect_set("symbol_upper")).alias("symbols"),
+        F.max("at_ns").alias("at_ns"),
+    )
+    return by_component.groupBy("run_id").agg(
+        F.max("at_ns").alias("received_at_unix_ns"),
+        F.to_json(
+            F.struct(
+                F.array_sort(F.collect_list("component")).alias("missing_streams"),
+                F.map_from_entries(F.collect_list(F.struct("component", "symbols"))).alias("missing_symbols"),
+                F.lit(first_event_seconds).alias("timeout_seconds"),
+            )
+        ).alias("details_json"),
+    ).select(
+        "run_id", F.lit(0).cast("long").alias("event_id"), "received_at_unix_ns",
+        F.lit("process").alias("component"), F.lit("first_event_timeout").alias("event_type"),
+        F.lit("ERROR").alias("severity"), F.lit("Streams gave no first event").alias("message"),
+        "details_json",
+    )
+
+
+def stale_control(told: DataFrame, timeout_seconds: int) -> DataFrame:
+    """One ``feed_stale_detected`` row per run and component: symbols that a batch found silent."""
+    stale = told.where(F.col("event_type") == "feed_stale")
+    return stale.groupBy("run_id", "component").agg(
+        F.max("event_id").alias("event_id"), F.max("at_ns").alias("received_at_unix_ns"),
+        F.to_json(
+            F.struct(
+                F.lit(timeout_seconds).alias("timeout_seconds"),
+                F.array_sort(F.collect_set(F.when(F.col("last_received_ns").isNotNull(), F.col("symbol_upper")))).alias("stale_symbols"),
+                F.array_sort(F.collect_set(F.when(F.col("last_received_ns").isNull(), F.col("symbol_upper")))).alias("missing_symbols"),
+            )
+        ).alias("details_json"),
+    ).select(
+        "run_id", F.coalesce("event_id", F.lit(0)).cast("long").alias("event_id"), "received_at_unix_ns",
+        "component", F.lit("feed_stale_detected").alias("event_type"),
+        F.lit("WARNING").alias("severity"), F.lit("Symbols fell silent").alias("message"),
+        "details_json",
+    )
+
+
+def outage_control(told: DataFrame, grace_seconds: int) -> DataFrame:
+    """``disconnect_detected`` and ``<component>_disconnect_timeout`` as control rows."""
+    over = F.col("event_type") == "disconnect_timeout"
+    return told.select(
+        "run_id", F.coalesce("event_id", F.lit(0)).cast("long").alias("event_id"),
+        F.col("at_ns").alias("received_at_unix_ns"),
+        "component",
+        F.when(over, F.concat("component", F.lit("_disconnect_timeout"))).otherwise(F.col("event_type")).alias("event_type"),
+        F.when(over, "ERROR").otherwise("WARNING").alias("severity"),
+        F.when(over, "Connection was lost for longer than the grace period")
+        .otherwise("Connection was lost").alias("message"),
+        F.to_json(
+            F.struct(
+                F.col("connection_key").alias("connection"),
+                F.lit(grace_seconds).alias("grace_seconds"),
+                F.col("last_received_ns").alias("down_at_ns"),
+            )
+        ).alias("details_json"),
+    )
+
+
+def as_control(found: DataFrame, secrets: tuple[str, ...] = ()) -> DataFrame:
+    """Health rows in the shape of the control stream; ids are those of the rows that caused them."""
+    arrived = found.withColumns(
+        {
+            "connection_id": F.lit(None).cast("string"),
+            "connection_epoch": F.lit(0),
+            "received_at_monotonic_ns": F.col("received_at_unix_ns"),
+        }
+    )
+    return normalize.control_events(
+        arrived, component=F.col("component"), event_type=F.col("event_type"),
+        severity=F.col("severity"), message=F.col("message"), details=F.col("details_json"),
+        secrets=secrets,
+    )
+
+
+def _started(rows: DataFrame, record, checkpoint: str, flush_seconds: int | None) -> StreamingQuery:
+    writer = rows.writeStream.foreachBatch(record).option("checkpointLocation", checkpoint)
+    if flush_seconds is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{flush_seconds} seconds").start()
+
+
+def record_health(
+    events: DataFrame,
+    lifecycle: DataFrame,
+    configured: DataFrame,
+    root: str,
+    checkpoint: str,
+    *,
+    timeout_seconds: int = STALE_TIMEOUT,
+    first_event_seconds: int = FIRST_EVENT_TIMEOUT,
+    grace_seconds: int = DISCONNECT_GRACE,
+    lateness: str | None = None,
+    secrets: tuple[str, ...] = (),
+    flush_seconds: int | None = 1,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Watch symbols and connections, and record what happens as control rows of the lake.
+
+    Two queries, each with a folder and a checkpoint of its own (``health_control`` and
+    ``outage_control``). A batch that is run again replaces itself.
+    """
+    symbols = live_symbols(
+        events, lifecycle, configured, timeout_seconds=timeout_seconds,
+        first_event_seconds=first_event_seconds, lateness=lateness,
+    )
+    outages = live_outages(lifecycle, grace_seconds=grace_seconds, lateness=lateness)
+    started = []
+    for told, target, shaped in (
+        (symbols, schemas.HEALTH_CONTROL, lambda rows: gate_control(rows, first_event_seconds)
+         .unionByName(stale_control(rows, timeout_seconds))),
+        (outages, schemas.OUTAGE_CONTROL, lambda rows: outage_control(rows, grace_seconds)),
+    ):
+        progress = f"{checkpoint}/{target}"
+        claim(events.sparkSession, stream_path(root, target), progress, by_batch=True)
+
+        def record(batch: DataFrame, batch_id: int, target=target, shaped=shaped) -> None:
+            kept = batch.persist()
+            try:
+                write_batch(as_control(shaped(kept), secrets), root, target, batch_id)
+            finally:
+                kept.unpersist()
+
+        started.append(_started(told, record, progress, flush_seconds))
+    return started[0], started[1]
 
 
 def live_counts(events: DataFrame) -> DataFrame:

@@ -179,3 +179,10 @@ def test_object_keys(spark):
     assert got == [f"path/{tail}", tail, f"p//q/{tail}"]
     assert column(spark, ["/bk/path/to/object"],
                   lambda v: keys.without_bucket(F.lit("bk"), v)) == ["path/to/object"]
+
+
+def test_long_fractions_are_cut_not_rounded(spark):
+    texts = ["0.9999999999999999999", "-3.99999999999999999999999", "7.00000000000000000001",
+             " 5.9999999999999999999 ", "1.5e3", ".99999999999999999999999", "9.999999999999999999"]
+    assert column(spark, texts, coerce.lenient_long) == [0, -3, 7, 5, 1500, 0, 9]
+    assert column(spark, texts[:1], coerce.lenient_sequence) == [0]
