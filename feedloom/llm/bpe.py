@@ -15,7 +15,7 @@ from __future__ import annotations
 import gc
 import os
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -299,14 +299,41 @@ def advance(held: bytes, wants: tuple | None, raw: bytes) -> tuple[str, bytes, t
     return "".join(out), held, wants
 
 
+def whole_texts(raw: dict[int, bytes]) -> dict[int, str]:
+    """The machine's steps from rest to rest: tokens that are whole characters, and their texts."""
+    steps = {token: advance(b"", None, content) for token, content in raw.items()}
+    return {token: text for token, (text, held, _) in steps.items() if not held}
+
+
 class StreamDecoder:
-    """Token ids in, whole characters out; ids may come one at a time."""
+    """Token ids in, whole characters out; ids may come one at a time.
+
+    ``whole`` are the steps from rest to rest and ``known`` steps of all other kinds, if there
+    are tables of them; a stretch of the former is joined at once.
+    """
+
+    STRETCH = 512
 
-    def __init__(self, raw: dict[int, bytes], known: dict | None = None):
-        self.raw, self.known = raw, {} if known is None else known
+    def __init__(
+        self, raw: dict[int, bytes], whole: dict[int, str] | None = None, known: dict | None = None
+    ):
+        self.raw, self.whole, self.known = raw, whole or {}, {} if known is None else known
         self.state: tuple[bytes, tuple | None] = (b"", None)
 
-    def push(self, ids: Iterable[int]) -> str:
+    def push(self, ids: Sequence[int]) -> str:
+        out = []
+        for first in range(0, len(ids), self.STRETCH):
+            some = ids[first : first + self.STRETCH]
+            if not self.state[0]:
+                try:
+                    out.append("".join(map(self.whole.__getitem__, some)))
+                    continue
+                except KeyError:
+                    pass
+            out.append(self._steps(some))
+        return "".join(out)
+
+    def _steps(self, ids: Sequence[int]) -> str:
         out, state, known = [], self.state, self.known
         for token in ids:
             step = known.get((state[0], token))
@@ -362,18 +389,19 @@ def _encode(folder: str, ranks: str):
 
 def _decode(folder: str, ranks: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = per_worker(
-            ("bpe bytes", folder, ranks),
-            lambda: {k: token for token, k in read_ranks(os.path.join(folder, ranks)).items()},
-        )
+        def load() -> tuple[dict[int, bytes], dict[int, str]]:
+            raw = {k: token for token, k in read_ranks(os.path.join(folder, ranks)).items()}
+            return raw, whole_texts(raw)
+
+        raw, whole = per_worker(("bpe bytes", folder, ranks), load)
         known: dict = {}
         for batch in batches:
             out = []
             for ids in batch["ids"]:
-                decoder = StreamDecoder(raw, known)
-                values = ids.values.to_numpy(zero_copy_only=False).tolist() if ids.is_valid else []
+                decoder = StreamDecoder(raw, whole, known)
                 # A null among the ids is as unknown as a number the vocabulary lacks.
-                out.append(decoder.push(-1 if x != x else int(x) for x in values) + decoder.finish())
+                values = ids.values.fill_null(-1).to_numpy().tolist() if ids.is_valid else []
+                out.append(decoder.push(values) + decoder.finish())
                 if len(known) > MOST_DECODED:
                     known.clear()
             yield pa.RecordBatch.from_arrays(

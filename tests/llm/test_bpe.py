@@ -68,12 +68,18 @@ def test_tokens_without_merges_stand_for_whole_matches_only():
 
 def test_the_stream_decoder_is_pythons(encoder):
     rng, raw = random.Random(3), encoder.machine.raw
+    whole = bpe.whole_texts(raw)
+    sentence = "Grüße, naïve café 漢字 🙂".encode()
+    library_ids = encoder.encode([sentence.decode()])[0].tolist()
     edges = [0x41, 0x80, 0xBF, 0xC2, 0xE0, 0xA0, 0xED, 0x9F, 0xF0, 0x90, 0xF4, 0x8F, 0xFF, 0xE2, 0x82]
     for _ in range(4000):
         content = bytes(rng.choice(edges) for _ in range(rng.randint(0, 12)))
         decoder = bpe.StreamDecoder(raw)
         parts = [decoder.push([encoder.machine.ids[bytes([b])]]) for b in content]
         assert "".join(parts) + decoder.finish() == content.decode("utf-8", "replace")
+        ids = [encoder.machine.ids[bytes([b])] for b in content] + library_ids
+        fast = bpe.StreamDecoder(raw, whole)
+        assert fast.push(ids) + fast.finish() == (content + sentence).decode("utf-8", "replace")
         assert decoder.finish() == ""
 
 
