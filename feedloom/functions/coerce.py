@@ -48,34 +48,40 @@ def truthy(text: Column) -> Column:
     return F.coalesce(~F.lower(text).isin("", "false", "0", "0.0", "null"), F.lit(False))
 
 
-# Texts of a whole side that a plain array cast reads exactly as the element rules do.
-_PLAIN_DOUBLES = r"^[0-9.eE+ -]*$"
-_PLAIN_LONGS = r"^[0-9 -]*$"
+# What every spelling that only the JVM parses has in it; a side without it needs no element rule.
+_JVM_SIGN = r"[0-9.][dDfF]|0[xX]"
 
 
-def _levels(values: Column, kind: str, plain: str, zero: Column, item_rule) -> Column:
-    """One array cast where every element is plainly a number; otherwise element by element.
+def _whole(fast: Column, absent: Column) -> Column:
+    """Every element was read. A failed one is null: then a search for a value cannot answer "no"."""
+    return F.coalesce(~F.array_contains(fast, absent), F.lit(False))
 
-    The array cast runs as compiled code, a lambda does not, and almost every book is plain. A
-    failed element shows as null: then a search for some value cannot answer "no".
-    """
-    side = F.array_join(values, " ", "x")
-    fast = F.when(side.rlike(plain), values.try_cast(f"array<{kind}>"))
-    absent = F.lit(-1).cast(kind) if kind == "bigint" else F.lit(float("-inf"))
-    whole = F.coalesce(~F.array_contains(fast, absent), F.lit(False))
-    slow = F.transform(values, lambda item: F.coalesce(item_rule(item), zero))
-    return F.when(whole, fast).otherwise(slow)
+
+# Both read a side by one array cast where that reads elements as their rules do: the cast runs as
+# compiled code, a lambda does not, and almost every book is plain.
 
 
 def double_levels(values: Column) -> Column:
     """Book levels as doubles; a missing or malformed element is 0.0."""
-    return _levels(values, "double", _PLAIN_DOUBLES, F.lit(0.0), lenient_double)
+    zero = F.lit(0.0)
+    fast = values.try_cast("array<double>")
+    plain = ~F.array_join(values, " ", "").rlike(_JVM_SIGN)
+    filled = F.transform(fast, lambda item: F.coalesce(item, zero))
+    slow = F.transform(values, lambda item: F.coalesce(lenient_double(item), zero))
+    return (
+        F.when(plain & _whole(fast, F.lit(float("-inf"))), fast).when(plain, filled).otherwise(slow)
+    )
 
 
 def long_levels(values: Column) -> Column:
-    """Book levels as longs; a missing or malformed element is 0."""
+    """Book levels as longs; a missing or malformed element is 0.
+
+    What the direct cast reads, the element rule reads alike, so no spelling is looked at.
+    """
     zero = F.lit(0).cast("bigint")
-    return _levels(values, "bigint", _PLAIN_LONGS, zero, lenient_long)
+    fast = values.try_cast("array<bigint>")
+    slow = F.transform(values, lambda item: F.coalesce(lenient_long(item), zero))
+    return F.when(_whole(fast, F.lit(-1).cast("bigint")), fast).otherwise(slow)
 
 
 def level_count(values: Column) -> Column:

@@ -60,8 +60,13 @@ def route_depth(spark, sf):
 
 def _stored_books(spark, sf):
     """Depth messages at rest, as they arrive: built once, then read like any recording."""
+    return _at_rest(spark, books(spark, sf))
+
+
+def _at_rest(spark, rows):
+    """Messages written once. Levels hardly repeat within a file: a dictionary of them only costs."""
     path = shared_dir(spark, "messages")
-    books(spark, sf).write.parquet(path)
+    rows.write.option("parquet.enable.dictionary", "false").option("compression", "zstd").parquet(path)
     return spark.read.schema(schemas.DEPTH_MESSAGES).parquet(path)
 
 
@@ -201,7 +206,7 @@ def asof_depth(spark, sf):
     quotes = _trades(spark, sf).select("run_id", "event_id", "symbol", "ltp")
     message = F.col("message")
     # Books of the wrong length are refused; of the others only the best level is coerced.
-    whole, _ = normalize.split_books(books(spark, sf))
+    whole, _ = normalize.split_books(_stored_books(spark, sf))
     best = whole.select(
         "run_id", "event_id", F.col("ticker").alias("symbol"),
         *[

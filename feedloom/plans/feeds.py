@@ -19,22 +19,27 @@ STALE_SECONDS = 86_400
 GATE_SECONDS = 86_400
 GRACE_SECONDS = 86_400
 BIG = 9_007_199_254_740_993
+# Rows of costly row-local work that one task takes.
+HEAVY_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
+def spread(rows: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
     """Rows over all cores if the scan has fewer splits than cores, else untouched.
 
     A small file is one split and would keep one core busy. A large table has more splits than
-    the cluster has cores and is never shuffled here.
+    the cluster has cores and is never shuffled here, unless ``rows_per_task`` bounds what a task
+    may take: splits are cut by bytes, and narrow rows may grow a hundredfold behind the scan.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    if rows_per_task:
+        wanted = max(wanted, -(-rows.count() // rows_per_task))  # Counted from the file footers.
+    if rows.rdd.getNumPartitions() >= wanted:
         return rows
-    return rows.repartition(cores, key)
+    return rows.repartition(wanted, key)
 
 
 def ticks(spark: SparkSession, sf: str, *, heavy: bool = False) -> DataFrame:
@@ -45,7 +50,7 @@ def ticks(spark: SparkSession, sf: str, *, heavy: bool = False) -> DataFrame:
     events = table(spark, sf, "events")
     stamp = F.col("ts").cast("timestamp")
     run = F.call_function("div", F.dayofmonth(stamp) - 1, F.lit(10))
-    return (spread(events, "event_id") if heavy else events).select(
+    return (spread(events, "event_id", HEAVY_ROWS) if heavy else events).select(
         F.concat(F.lit("run-"), run.cast("string")).alias("run_id"),
         F.col("event_id").alias("tick_id"),
         (F.unix_micros(stamp) * 1000).alias("received_at_unix_ns"),
@@ -232,10 +237,20 @@ DEPTH_SQL = f"""depth AS (
   FROM (SELECT *, 'tbt:' || (user_id // 5 + 1) AS connection_key FROM ticks))"""
 
 
-def books(spark: SparkSession, sf: str, levels: int = schemas.BOOK_LEVELS) -> DataFrame:
+def _met(spark: SparkSession, sf: str, epochs: DataFrame) -> DataFrame:
+    """Ticks with their epochs, at rest, so that they are dealt anew by their number."""
+    by_tick = epochs.withColumn("tick_id", F.call_function("div", F.col("event_id") - 1, F.lit(3)))
+    met = stored(ticks(spark, sf).join(by_tick.drop("event_id"), "tick_id"), "epochs")
+    return spread(met, "tick_id", HEAVY_ROWS)
+
+
+def books(
+    spark: SparkSession, sf: str, levels: int = schemas.BOOK_LEVELS, epochs: DataFrame | None = None
+) -> DataFrame:
     """Depth messages with 50 levels as text; purchases carry a bad level, some errors 49.
 
-    Prices are whole hundredths, five apart.
+    Prices are whole hundredths, five apart. ``epochs`` (``event_id, connection_epoch``) is met by
+    the narrow ticks, before their books are built; without it every epoch is the first.
     """
     short = (F.col("kind") == "error") & (F.col("k") < 10)
     full = levels == schemas.BOOK_LEVELS
@@ -283,8 +298,12 @@ def books(spark: SparkSession, sf: str, levels: int = schemas.BOOK_LEVELS) -> Da
         F.lit("1e2").alias("sendtime"),
         sequence.alias("seqNo"),
     )
-    return ticks(spark, sf, heavy=True).withColumns(sides).select(
-        *_arrival(F.col("tick_id") * 3 + 1, F.lit(1), connection_key(F.col("user_id"))),
+    if epochs is None:
+        rows, epoch = ticks(spark, sf, heavy=True), F.lit(1)
+    else:
+        rows, epoch = _met(spark, sf, epochs), F.col("connection_epoch")
+    return rows.withColumns(sides).select(
+        *_arrival(F.col("tick_id") * 3 + 1, epoch, connection_key(F.col("user_id"))),
         spelled_symbol().alias("ticker"),
         F.lit("1").alias("channel"),
         message.alias("message"),

@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM interprets methods beyond this size; six book sides in one would be one. Such a stage is
+    # compiled operator by operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Python workers hold whole batches of texts, on both sides of the pipe.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
