@@ -45,7 +45,7 @@ def src_quotes(spark, sf):
 def src_depth(spark, sf):
     """Depth messages from a landing folder: full books become rows, the rest is left out."""
     landing, root = shared_dir(spark, "landing"), shared_dir(spark, "lake")
-    books(spark, sf).write.json(landing)
+    books(spark, sf).write.json(landing, compression="gzip")
     kept, _ = normalize.split_books(messages.depth_messages(spark, landing))
     rows = normalize.normalize_depth(kept).withColumns(
         {
