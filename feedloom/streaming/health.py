@@ -1,6 +1,6 @@
 """Live feed health: silent and missing symbols, lost connections, and counters of what arrived.
 
-Two stateful operators watch a running stream: one per configured symbol, one per connection. Each
+Two stateful operators watch a running stream: one for configured symbols, one per connection. Each
 tells what the rows themselves show, and has a timer for what only their absence shows. Lifecycle
 rows give each run its clocks: ``sockets_ready`` starts the wait for first events and
 ``streams_ready`` the watch for silence, on every configured symbol, whether it ever arrives or not.
@@ -28,6 +28,8 @@ from feedloom.streaming.sinks import write_batch
 
 KEYS = ["run_id", "component", "symbol_upper"]
 CONNECTION = ["run_id", "component", "connection_key"]
+#: Symbols of a run and component are watched in this many groups. Fixed: states are kept by group.
+BUCKETS = 64
 _NS, _MS = 1_000_000_000, 1_000_000
 #: Lifecycle rows by which a run's symbols are watched, and no longer watched.
 OPENED, READY, ENDED = "sockets_ready", "streams_ready", "process_stop_requested"
@@ -38,7 +40,10 @@ _SYMBOL_TOLD = f"run_id string, component string, symbol_upper string, {_TOLD}"
 class SymbolWatch:
     """What is known of one symbol of a run; ``told`` collects what is to be said."""
 
-    FIELDS = "opened_ns long, ready_ns long, last_ns long, last_id long, gate_told boolean, stale boolean"
+    HELD = (
+        "symbol_upper:string, timer_ms:long, opened_ns:long, ready_ns:long, last_ns:long, "
+        "last_id:long, gate_told:boolean, stale:boolean"
+    )
 
     def __init__(self, timeout: int, gate: int, state: tuple | None = None) -> None:
         self.timeout, self.gate = timeout, gate
@@ -131,23 +136,29 @@ class ConnectionWatch:
 
 
 def _rows(key: tuple[Any, ...], names: list[str], told: list[tuple]) -> pd.DataFrame:
+    """What is told, each row after ``key``; ``names`` are those of the columns before the event."""
     columns = [*names, "event_type", "at_ns", "last_received_ns", "event_id"]
-    frame = pd.DataFrame([(*key, *row) for row in told], columns=columns)
-    return frame.astype({"at_ns": "Int64", "last_received_ns": "Int64", "event_id": "Int64"})
+    # Python's own numbers and None stay what they are; casting each small frame would cost more.
+    return pd.DataFrame([(*key, *row) for row in told], columns=columns, dtype=object)
 
 
 def _optional(values: tuple) -> tuple:
     return tuple(None if pd.isna(x) else x for x in values)
 
 
+def _timer(at: int | None, now_ms: int) -> int | None:
+    """The millisecond of a timer: it must lie beyond now; one that is due fires with the next batch."""
+    return None if at is None else max(-(-at // _MS), now_ms + 1)
+
+
 def _schedule(state: GroupState, at: int | None, by_event_time: bool) -> None:
     if at is None:
         return
     if by_event_time:
-        # A timer must lie beyond the watermark; one that is due fires with the next batch.
-        state.setTimeoutTimestamp(max(-(-at // _MS), state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(_timer(at, state.getCurrentWatermarkMs()))
     else:
-        state.setTimeoutDuration(max(1, -(-at // _MS) - state.getCurrentProcessingTimeMs()))
+        now = state.getCurrentProcessingTimeMs()
+        state.setTimeoutDuration(_timer(at, now) - now)
 
 
 def _now(state: GroupState, by_event_time: bool) -> int:
@@ -175,6 +186,35 @@ def _stretches(timeout_ns: int):
     return reduce
 
 
+def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Turns of a partition, each once; of a run's ends only the last."""
+    found = pd.DataFrame()
+    for batch in batches:
+        found = pd.concat([found, batch]) if len(found) else batch
+        ends = found["kind"] == ENDED
+        last = found[ends].sort_values("received_at_unix_ns", na_position="first")
+        found = pd.concat([found[~ends].drop_duplicates(), last.drop_duplicates(["run_id"], keep="last")])
+    if len(found):
+        yield found
+
+
+_RUN_TURN = "run_id string, kind string, received_at_unix_ns long"
+
+
+def _run_turns(lifecycle: DataFrame) -> DataFrame:
+    """A micro-batch's turns of whole runs.
+
+    A run is told to stop on each of its connections. Joined as they are, these rows would meet all
+    symbols of the run, connections times symbols in all. What is told by the earlier ends of a
+    batch, the last one or a receipt before it tells as well. Turns are reduced where they are read
+    and again by run, so few of them are shuffled; no state is kept between batches.
+    """
+    turns = lifecycle.where(F.col("event_type").isin(OPENED, READY, ENDED)).select(
+        "run_id", F.col("event_type").alias("kind"), "received_at_unix_ns"
+    )
+    return turns.mapInPandas(_once, _RUN_TURN).repartition("run_id").mapInPandas(_once, _RUN_TURN)
+
+
 _WATCHED = "run_id string, component string, symbol_upper string, kind string, from_ns long, to_ns long, event_id long"
 
 
@@ -193,40 +233,80 @@ def _timed(rows: DataFrame, ns: str, lateness: str | None) -> DataFrame:
 
 
 def _symbol_watch(timeout: int, gate: int, by_event_time: bool, always: bool = False):
-    """The state function of symbols; ``always``: no lifecycle row is needed to watch one."""
+    """The state function of a bucket of symbols; ``always``: no lifecycle row is needed to watch one.
+
+    Each symbol has its own timer, kept with its state; the bucket's is the first of them. One that
+    ran off while other symbols of the bucket arrived is told of then.
+    """
     def watch(
         key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        known = SymbolWatch(timeout, gate, _optional(state.get) if state.exists else None)
-        ended = False
-        if always:
-            known.lifecycle(READY, 0)
-        if state.hasTimedOut:
-            known.due(_now(state, by_event_time))
-        else:
-            rows = [row for frame in frames for row in zip(*(frame[c] for c in ("from_ns", "kind", "to_ns", "event_id")))]
-            if always and known.last is None:
-                known.last = min(int(row[0]) for row in rows)
+        held = state.get[0] if state.exists else []
+        known = {symbol: (timer, tuple(own)) for symbol, timer, *own in held}
+        arrived: dict[Any, list[tuple]] = {}
+        if not state.hasTimedOut:
+            for frame in frames:
+                for symbol, *row in zip(*(frame[c].tolist() for c in ("symbol_upper", "from_ns", "kind", "to_ns", "event_id"))):
+                    arrived.setdefault(symbol, []).append(row)
+        now = _now(state, by_event_time)
+        told: list[tuple] = []
+
+        def keep(symbol: Any, one: SymbolWatch) -> None:
+            known[symbol] = (_timer(one.next_at(), now // _MS), one.state())
+            told.extend((symbol, *row) for row in one.told)
+
+        for symbol, (timer, own) in list(known.items()):
+            if symbol not in arrived and timer is not None and timer < now // _MS:
+                one = SymbolWatch(timeout, gate, own)
+                one.due(now)
+                keep(symbol, one)
+        for symbol, rows in arrived.items():
+            one = SymbolWatch(timeout, gate, known[symbol][1] if symbol in known else None)
+            ended = False
+            if always:
+                one.lifecycle(READY, 0)
+                if one.last is None:
+                    one.last = min(int(row[0]) for row in rows)
             # At one moment the run's own turns come before receipts.
             for first, kind, last, event_id in sorted(rows, key=lambda r: (r[0], r[1] == "receipt")):
                 if kind == "receipt":
-                    known.receipts(int(first), int(last), int(event_id))
+                    one.receipts(int(first), int(last), int(event_id))
                 elif kind == ENDED:
-                    known.due(int(first))
+                    one.due(int(first))
                     ended = True
                 else:
-                    known.lifecycle(kind, int(first))
-        if ended:
+                    one.lifecycle(kind, int(first))
+            keep(symbol, one)
+            if ended:
+                del known[symbol]
+        if known:
+            state.update(([(symbol, timer, *own) for symbol, (timer, own) in known.items()],))
+            first = min((timer for timer, _ in known.values() if timer is not None), default=None)
+            _schedule(state, None if first is None else first * _MS, by_event_time)
+        elif state.exists:
             state.remove()
-        else:
-            state.update(known.state())
-            _schedule(state, known.next_at(), by_event_time)
-        if known.told:
-            yield _rows(key, KEYS, known.told)
+        if told:
+            yield _rows(key[:2], KEYS, told)
 
     return watch
 
 
+def _watched(rows: DataFrame, watch, by_event_time: bool) -> DataFrame:
+    """Rows of symbols through the state function, a bucket of a run's symbols at a time.
+
+    A call of the function costs far more than a symbol does; a bucket's state is a list of its
+    configured symbols (or, without a universe, those that arrived).
+    """
+    return (
+        rows.withColumn("bucket", F.pmod(F.xxhash64("symbol_upper"), F.lit(BUCKETS)))
+        .groupBy(*KEYS[:2], "bucket")
+        .applyInPandasWithState(
+            watch, _SYMBOL_TOLD, f"known array<struct<{SymbolWatch.HELD}>>", "append",
+            _timeouts(by_event_time),
+        )
+    )
+
+
 def _receipts(events: DataFrame, timeout: int) -> DataFrame:
     return events.where(F.col("symbol").isNotNull()).select(
         "run_id", "component", F.upper("symbol").alias("symbol_upper"), "event_id",
@@ -241,14 +321,9 @@ def live_staleness(events: DataFrame, *, timeout_seconds: int = STALE_TIMEOUT) -
     """
     timeout = timeout_seconds * _NS
     known = events if "event_id" in events.columns else events.withColumn("event_id", F.lit(0).cast("long"))
-    return (
-        _receipts(known, timeout)
-        .groupBy(*KEYS)
-        .applyInPandasWithState(
-            _symbol_watch(timeout, 0, False, always=True), _SYMBOL_TOLD, SymbolWatch.FIELDS,
-            "append", _timeouts(False),
-        )
-        .select(*KEYS, "event_type", "last_received_ns")
+    watch = _symbol_watch(timeout, 0, False, always=True)
+    return _watched(_receipts(known, timeout), watch, False).select(
+        *KEYS, "event_type", "last_received_ns"
     )
 
 
@@ -280,21 +355,16 @@ def live_symbols(
     receipts = _receipts(events, timeout)
     everyone = sized_broadcast(members(configured, components).drop("connection_key").distinct())
     turns = (
-        lifecycle.where(F.col("event_type").isin(OPENED, READY, ENDED))
-        .select("run_id", F.col("event_type").alias("kind"), "received_at_unix_ns", "event_id")
+        _run_turns(lifecycle)
         .join(everyone, "run_id")
         .select(
             *KEYS, "kind", F.col("received_at_unix_ns").alias("from_ns"),
-            F.col("received_at_unix_ns").alias("to_ns"), "event_id",
+            F.col("received_at_unix_ns").alias("to_ns"), F.lit(0).cast("long").alias("event_id"),
         )
     )
-    return (
-        _timed(receipts.unionByName(turns), "to_ns", lateness)
-        .groupBy(*KEYS)
-        .applyInPandasWithState(
-            _symbol_watch(timeout, gate, by_event_time), _SYMBOL_TOLD, SymbolWatch.FIELDS,
-            "append", _timeouts(by_event_time),
-        )
+    return _watched(
+        _timed(receipts.unionByName(turns), "to_ns", lateness),
+        _symbol_watch(timeout, gate, by_event_time), by_event_time,
     )
 
 

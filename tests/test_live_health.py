@@ -193,3 +193,19 @@ def test_a_batch_that_is_not_committed_is_not_seen(spark, tmp_path, monkeypatch)
     monkeypatch.undo()
     sinks.drain(*run())
     assert [r["event_type"] for r in lake.scan_control(spark, root).collect()] == ["disconnect_detected"]
+
+
+def test_a_run_that_ends_on_each_connection_meets_its_symbols_once(spark):
+    ends = [("r", 7, "tbt", f"tbt:{n}", "process_stop_requested", BASE + n) for n in range(400)]
+    ready = [("r", n, "process", None, "streams_ready", BASE) for n in range(3)]
+    other = [("s", 1, "data", "data", "process_stop_requested", BASE + 5), ("r", 1, "data", "data", "socket_open", BASE)]
+    turns = spark.createDataFrame(ends + ready + other, TURNS).repartition(7)
+    assert sorted(map(tuple, live._run_turns(turns).collect())) == [
+        ("r", "process_stop_requested", BASE + 399), ("r", "streams_ready", BASE),
+        ("s", "process_stop_requested", BASE + 5),
+    ]
+
+
+def test_symbols_of_one_bucket_keep_their_own_timers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "BUCKETS", 1)
+    test_live_silence_is_that_of_the_batch_over_restarts(spark, tmp_path, 3)
