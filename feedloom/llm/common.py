@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +63,14 @@ def utf8(raw: bytes) -> str:
     return raw.decode("utf-8", "replace")
 
 
+class _Numbers(dict):
+    """Words by number; a word that is asked for first gets the next."""
+
+    def __missing__(self, word) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class WordTable:
     """Token sequences of words, each encoded once per worker.
 
@@ -74,24 +83,34 @@ class WordTable:
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict = {}
+        self.index = _Numbers()
         self.flat = np.zeros(0, np.int32)
         self.starts = np.zeros(1, np.int64)
 
+    @property
+    def held(self) -> int:
+        """How many words have their sequences."""
+        return len(self.starts) - 1
+
     def ids(self, words: Sequence) -> np.ndarray:
         """Place of each word in the table; new words are encoded first."""
-        new = set(words).difference(self.index)
-        if self.index and len(self.index) + len(new) > self.most:
+        places = self._places(words)
+        if self.held and len(self.index) > self.most:
             self._clear()
-            new = set(words)
-        if new:
-            new = list(new)
-            encoded = list(self.encode(new))
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+            places = self._places(words)
+        if len(self.index) > self.held:
+            try:
+                encoded = list(self.encode(list(islice(reversed(self.index), len(self.index) - self.held))[::-1]))
+            except BaseException:
+                self._clear()  # No word stays without its sequence.
+                raise
             sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
             more = np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))
             self.flat = np.concatenate([self.flat, more])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        return places
+
+    def _places(self, words: Sequence) -> np.ndarray:
         return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
     def sizes(self, ids: np.ndarray) -> np.ndarray:

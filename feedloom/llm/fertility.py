@@ -67,7 +67,7 @@ class Fertility:
         spaced = [" " + word for word in decoded]
         sizes = [len(ids) for ids in encode_apart(self.ranks, spaced, self.end)]
         self.n_ranks = np.concatenate(
-            [self.n_ranks[: len(self.table.index)], np.array(sizes, np.int64)]
+            [self.n_ranks[: self.table.held], np.array(sizes, np.int64)]
         )
         return self.sp.encode(decoded, num_threads=1)
 

@@ -157,7 +157,7 @@ class Encoder:
 
     def _segment(self, units: list[str]) -> list[list[int]]:
         found = [best_two(self.pieces, self.edges, prepared(unit)) for unit in units]
-        held = len(self.table.index)  # Zero after the table was emptied.
+        held = self.table.held  # Zero after the table was emptied.
         self.scores = np.concatenate([self.scores[:held], [x[1] for x in found]])
         self.losses = np.concatenate([self.losses[:held], [x[2] for x in found]])
         return [x[0] for x in found]
