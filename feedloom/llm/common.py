@@ -142,6 +142,8 @@ def per_worker(key: tuple, make: Callable, *, alone: bool = False):
         for other in _ALONE:
             _LOADED.pop(other, None)
         _ALONE[:] = [key]
+        # A word table and its owner refer to each other; the collector would hardly ever come by.
+        gc.collect()
     if key not in _LOADED:
         _LOADED[key] = make()
     return _LOADED[key]
