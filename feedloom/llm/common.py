@@ -160,8 +160,8 @@ def sentence_pieces(folder: str = TOKENIZERS):
     return per_worker(("pieces", folder), load)
 
 
-def rank_encoding(name: str, folder: str = TOKENIZERS):
-    """A public byte-level BPE vocabulary given as ranks, loaded once per worker."""
+def rank_encoding(name: str, folder: str = TOKENIZERS, pattern: str | None = None):
+    """A public byte-level BPE vocabulary given as ranks, loaded once per worker and word pattern."""
 
     def load():
         import base64
@@ -171,10 +171,10 @@ def rank_encoding(name: str, folder: str = TOKENIZERS):
         with open(os.path.join(folder, name), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         return tiktoken.Encoding(
-            name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+            name, pat_str=pattern or PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
-    return per_worker((name, folder), load)
+    return per_worker((name, folder, pattern), load)
 
 
 def encode_apart(encoding, units: list[str], line_end: int) -> list[list[int]]:
