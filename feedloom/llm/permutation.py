@@ -60,6 +60,13 @@ def _orders(pivots: np.ndarray):
     return orders
 
 
+def footrules(ranks: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Footrule distances of orders (a pivot a row) from one; of 256 places it is 2 ** 15 at most."""
+    apart = ranks - seen[:, None]
+    np.abs(apart, out=apart)
+    return np.add.reduce(apart.view(np.uint16), axis=0, dtype=np.uint16)
+
+
 def _search(k: int, reranked: float):
     def search(key, vectors: pa.Table, queries: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
@@ -73,13 +80,14 @@ def _search(k: int, reranked: float):
                 return np.frombuffer(joined, kind).reshape(table.num_rows, -1)
 
             values = rows(vectors, "raw", np.float64)[by_id]
-            ranks = rows(vectors, "ranks", np.uint8)[by_id].astype(np.int16)
+            # A pivot a row: distances are summed over whole rows.
+            ranks = np.ascontiguousarray(rows(vectors, "ranks", np.uint8)[by_id].T.astype(np.int16))
             asked = rows(queries, "raw", np.float64)
             seen = rows(queries, "ranks", np.uint8).astype(np.int16)
             front = max(4 * k, math.ceil(len(ids) * reranked))
             for q, query_id in enumerate(queries["vec_id"].to_pylist()):
                 # The query's own row is at distance 0; one place more makes up for it.
-                footrule = np.abs(ranks - seen[q]).sum(axis=1)
+                footrule = footrules(ranks, seen[q])
                 chosen = np.argsort(footrule, kind="stable")[: front + 1]
                 chosen = np.sort(chosen[ids[chosen] != query_id])
                 scores = (values[chosen] * asked[q]).sum(axis=1)
