@@ -39,6 +39,7 @@ OTHERS = (
     "\x00\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+ASCII_OTHERS = "".join(filter(str.isascii, OTHERS))
 #: The word pattern for texts without two blanks side by side: there a blank run is one blank.
 AHEAD_FREE = PATTERN.replace(r"|\s+(?!\S)", "")
 
@@ -74,7 +75,8 @@ def permuted(places: np.ndarray, size: int, key: int, rounds: int = ROUNDS) -> n
 
 def joined(text: str) -> bool:
     """Whether blanks may stand side by side: there the word pattern looks over unit boundaries."""
-    return any(pair in text for pair in PAIRS) or any(blank in text for blank in OTHERS)
+    others = ASCII_OTHERS if text.isascii() else OTHERS
+    return any(pair in text for pair in PAIRS) or any(blank in text for blank in others)
 
 
 class Tokens:
@@ -88,21 +90,21 @@ class Tokens:
         self.encoding = rank_encoding(RANKS, folder)
         self.ahead_free = rank_encoding(RANKS, folder, AHEAD_FREE)
 
-    def encode(self, docs: list[str]) -> list[np.ndarray]:
+    def encode(self, docs: list[str]) -> list[list[int]]:
         """Ids of every text, END_OF_TEXT last."""
-        return [
-            np.append(
-                (self.encoding if joined(text) else self.ahead_free).encode_to_numpy(text), END_OF_TEXT
-            )
-            for text in docs
+        out = [
+            (self.encoding if joined(text) else self.ahead_free).encode_ordinary(text) for text in docs
         ]
+        for ids in out:
+            ids.append(END_OF_TEXT)
+        return out
 
 
 def _tokens(folder: str) -> Tokens:
     return per_worker(("tokens", folder), lambda: Tokens(folder), alone=True)
 
 
-def _encoded(batches, folder: str) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _encoded(batches, folder: str) -> Iterator[tuple[list, list[list[int]]]]:
     tokens = _tokens(folder)
     for batch in batches:
         docs, keys = strings(batch["text"]), batch["doc_id"].to_pylist()

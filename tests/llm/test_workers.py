@@ -64,7 +64,7 @@ def test_texts_without_blanks_side_by_side_need_no_look_ahead():
     tokens, whole = order.Tokens(TOKENIZERS), rank_encoding(order.RANKS)
     assert r"(?!\S)" not in order.AHEAD_FREE
     for text, ids in zip(TEXTS, tokens.encode(TEXTS)):
-        assert ids.tolist() == [*whole.encode_ordinary(text), order.END_OF_TEXT]
+        assert ids == [*whole.encode_ordinary(text), order.END_OF_TEXT]
 
 
 def test_footrules_of_a_block_fit_their_type():
