@@ -73,6 +73,33 @@ def test_search_of_a_whole_lattice_agrees_with_that_of_units():
     assert [s for s, _ in whole] == [scores[0], *(o["score"] for o in others[0])]
 
 
+def test_new_units_are_segmented_together(monkeypatch):
+    pieces = load_pieces()
+    encoder = nbest.Encoder(pieces, 4)
+    draw = random.Random(5)
+    some = [p for p in pieces.ids if len(p) < 5] + list("ab \n\x00é東🙂\U0010ffff")
+    units = ["".join(draw.choices(some, k=draw.randint(1, 9))) for _ in range(1500)]
+    units += [*map(prepared, ["▁", " ", "a", "\n", "z" * 64, "東" * 64]), "x" * 65, "é" * 300]
+    want = [nbest.best_two(pieces, encoder.edges, unit) for unit in units]
+    alone = []
+
+    def one(pieces, edges, unit, best_two=nbest.best_two):
+        alone.append(unit)
+        return best_two(pieces, edges, unit)
+
+    monkeypatch.setattr(nbest, "best_two", one)
+    monkeypatch.setattr(nbest, "CHARS_TOGETHER", 999)
+    encoder.table.ids(units)
+    assert set(alone) == {"x" * 65, "é" * 300}
+    at = encoder.table.ids(units)
+    tokens, sizes = encoder.table.tokens(at)
+    parts = [x.tolist() for x in np.split(tokens, np.cumsum(sizes)[:-1])]
+    # The table prepares what it is given, so prepared units are prepared twice here.
+    again = [nbest.best_two(pieces, encoder.edges, prepared(unit)) for unit in units]
+    assert [(p, s, d) for p, s, d in zip(parts, encoder.scores[at], encoder.losses[at])] == again
+    assert encoder._best_two(units) == want
+
+
 def test_encode_decodes_to_the_text(spark, docs):
     found = nbest.encode(docs.withColumn("row_key", F.monotonically_increasing_id()), ("row_key",))
     back = {r.row_key: r.text for r in nbest.decode(found, ("row_key",)).collect()}
