@@ -36,6 +36,10 @@ from feedloom.llm.common import (
 RANKS = "byte_bpe_50k.tiktoken"
 BYTES_A_SLICE = 1 << 20
 PIECES_A_TIME = 1 << 18
+NEVER = 1 << 62  # Above all ranks.
+NOWHERE = None, None, False
+#: So many first bytes lead to their state at once when they were read before.
+HEAD = 4
 MOST_STATES, MOST_PAIRS, MOST_MATCHES, MOST_DECODED = 120_000, 400_000, 400_000, 200_000
 
 
@@ -49,22 +53,38 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Bytes in, token ids out, for one vocabulary of ranks.
 
-    A guess is where the next token may begin: how far into the bytes that are still open, after
-    which token (-1: none), and the tokens held back for it. A state is the open bytes and guesses.
+    A guess is how far the next token has begun (a node of the tree of all beginnings), after which
+    token (-1: none), and the tokens held back for it. A state is the open bytes and guesses.
     """
 
     def __init__(self, ranks: dict[bytes, int], most: int = MOST_STATES):
         self.ids, self.most = ranks, most
         self.raw = {rank: token for token, rank in ranks.items()}
-        self.begins = {token[:k] for token in ranks for k in range(1, len(token))}
-        self.bytes = [bytes([k]) for k in range(256)]
+        self.begun, numbers = [b""], {}
+        for token in ranks:
+            node = 0
+            for k, byte in enumerate(token, 1):
+                below = numbers.get(node << 8 | byte)
+                if below is None:
+                    below = numbers[node << 8 | byte] = len(self.begun)
+                    self.begun.append(token[:k])
+                node = below
+        inner = {key >> 8 for key in numbers}
+        #: By node and byte: the node below, the token that is whole there, whether it may go on.
+        self.under = {k: (n, ranks.get(self.begun[n]), n in inner) for k, n in numbers.items()}
         self.pairs: dict[int, bool] = {}
+        self.sides: dict[int, tuple[list, list] | None] = {}
+        self.states: list[tuple] = []
+        self.numbers: dict[tuple, int] = {}
+        self.steps: dict[int, tuple[int, tuple]] = {}
+        self.heads: dict[bytes, tuple[int, tuple]] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.states: list[tuple] = []
-        self.numbers: dict[tuple, int] = {}
-        self.steps: list[dict[int, tuple[int, tuple]]] = []
+        self.states.clear()
+        self.numbers.clear()
+        self.steps.clear()
+        self.heads.clear()
         self._state((b"", (0, -1, ())))
 
     def fits(self, last: int, token: int) -> bool:
@@ -74,9 +94,67 @@ class Transducer:
         if known is None:
             if len(self.pairs) >= MOST_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[pair] = self.merge(last, token)
+            known = self.pairs[pair] = self._apart(last, token)
         return known
 
+    def _apart(self, last: int, token: int) -> bool:
+        """``merge``, by the sides of the two tokens where they turn to each other.
+
+        Each token merges as it would alone until a merge joins parts of both. With ranks that only
+        rise, a part stays until the rank that takes it comes; a merge over the boundary that is
+        lower than the ranks that take its two parts (not above the right one's, as the left goes
+        first) comes before them.
+        """
+        left, right = self._sides(last) if last >= 0 else None, self._sides(token)
+        if not left or not right:
+            return self.merge(last, token)
+        ends, begins, get = left[1], right[0], self.ids.get
+        i = j = 0
+        while True:
+            a, until_a = ends[i]
+            b, until_b = begins[j]
+            rank = get(a + b)
+            if rank is not None and rank < until_a and rank <= until_b:
+                return False
+            if until_a <= until_b:
+                if until_a == NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
+
+    def _sides(self, token: int) -> tuple[list, list] | None:
+        """The first and the last parts of a token while it merges, each with the rank that ends it.
+
+        None if ranks fall on the way, or if merging does not give the token.
+        """
+        if token in self.sides:
+            return self.sides[token]
+        whole, get = self.raw[token], self.ids.get
+        parts = [whole[k : k + 1] for k in range(len(whole))]
+        begins, ends, before = [], [], -1
+        ranks = [get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER or best < before:
+                break
+            before, at = best, ranks.index(best)
+            if at == 0:
+                begins.append((parts[0], best))
+            if at == len(ranks) - 1:
+                ends.append((parts[-1], best))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get(parts[at - 1] + parts[at], NEVER)
+            if at < len(ranks):
+                ranks[at] = get(parts[at] + parts[at + 1], NEVER)
+        found = None
+        if len(parts) == 1:
+            found = [*begins, (whole, NEVER)], [*ends, (whole, NEVER)]
+        self.sides[token] = found
+        return found
+
     def merge(self, last: int, token: int) -> bool:
         """Whether merging the bytes of ``last`` (-1: none) and ``token`` gives just these two.
 
@@ -110,57 +188,74 @@ class Transducer:
         if number is None:
             number = self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.steps.append({})
         return number
 
     def _step(self, number: int, byte: int) -> tuple[int, tuple]:
         """The state after one more byte and the tokens that are now certain."""
-        open_, *guesses = self.states[number]
-        open_ += self.bytes[byte]
-        begins, ids = self.begins, self.ids
+        under, pairs = self.under.get, self.pairs.get
         going, ended = [], None
-        for guess in guesses:
-            at, last, held = guess
-            begun = open_[at:]
-            if begun in begins:
-                going.append(guess)
+        for node, last, held in self.states[number][1:]:
+            below = under(node << 8 | byte)
+            if below is None:
+                continue
+            node, token, more = below
+            if more:
+                going.append((node, last, held))
             # All bytes read so far are whole tokens in one way only.
-            if ended is None:
-                token = ids.get(begun)
-                if token is not None and self.fits(last, token):
-                    ended = len(open_), token, (*held, token)
+            if ended is None and token is not None:
+                known = pairs((last + 1) << 32 | token)
+                if self.fits(last, token) if known is None else known:
+                    ended = 0, token, (*held, token)
         going.append(ended)
-        start, _, first = going[0]
-        certain: tuple = ()
-        if len(going) == 1:
-            certain = first
-        elif first:
-            sure = 0
-            for x in zip(*[guess[2] for guess in going]):
-                if x.count(x[0]) < len(x):
-                    break
-                sure += 1
-            certain = first[:sure]
-        if start or certain:
+        certain = going[0][2]
+        for guess in going[1:]:
+            while certain and guess[2][: len(certain)] != certain:
+                certain = certain[:-1]
+        if certain:
             sure = len(certain)
-            open_ = open_[start:]
-            going = [(at - start, last, held[sure:]) for at, last, held in going]
+            going = [(node, last, held[sure:]) for node, last, held in going]
+        state = (self.begun[going[0][0]], *going)
         if len(self.states) >= self.most:
             self._forget()
-            return self._state((open_, *going)), certain
-        found = self.steps[number][byte] = (self._state((open_, *going)), certain)
+            return self._state(state), certain
+        found = self.steps[number << 8 | byte] = (self._state(state), certain)
         return found
 
+    def _read(self, state: int, some: bytes, out: list[int]) -> int:
+        """The state after some bytes; tokens that become certain go to ``out``."""
+        known = self.steps.get
+        for byte in some:
+            state, certain = known(state << 8 | byte) or self._step(state, byte)
+            if certain:
+                out += certain
+        return state
+
+    def _end(self, number: int, byte: int) -> tuple | None:
+        """The tokens held back if this byte is the last one; no state is made of it."""
+        for node, last, held in self.states[number][1:]:
+            _, token, _ = self.under.get(node << 8 | byte, NOWHERE)
+            if token is not None and self.fits(last, token):
+                return *held, token
+        return None
+
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one match of the word pattern."""
         out: list[int] = []
-        state = 0
-        for byte in piece:
-            state, certain = self.steps[state].get(byte) or self._step(state, byte)
-            if certain:
+        if not piece:
+            return out
+        state, rest = 0, piece[:-1]
+        if len(rest) >= HEAD:
+            head, rest = rest[:HEAD], rest[HEAD:]
+            if head not in self.heads:
+                state = self._read(0, head, out)
+                # States may have been forgotten on the way, but this one is there.
+                if len(self.heads) < self.most:
+                    self.heads[head] = state, tuple(out)
+            else:
+                state, certain = self.heads[head]
                 out += certain
-        # The last guess is that a token ended here.
-        out += self.states[state][-1][2]
+        state = self._read(state, rest, out)
+        out += self._end(state, piece[-1])
         # A token that no merges make stands only for a whole match.
         if len(out) > 1 and piece in self.ids:
             return [self.ids[piece]]
@@ -205,10 +300,11 @@ class Splitter:
         self.pattern = regex.compile(PATTERN)
         self.newer = newer_letters()
         self.table = str.maketrans(self.newer)
+        self.none_newer = frozenset(self.newer).isdisjoint
 
     def matches(self, text: str) -> Iterator[list[str]]:
         """All matches in order, some at a time."""
-        if text.isascii() or not any(map(self.newer.__contains__, text)):
+        if text.isascii() or self.none_newer(text):
             if len(text) < BYTES_A_SLICE:
                 yield self.pattern.findall(text)
                 return

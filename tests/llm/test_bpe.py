@@ -66,6 +66,39 @@ def test_tokens_without_merges_stand_for_whole_matches_only():
     assert machine.encode(b"abcda") == [256, 99, 100, 97]
 
 
+def test_the_sides_of_two_tokens_tell_whether_they_merge():
+    rng = random.Random(4)
+    for _ in range(150):
+        # Ranks in any order: some tokens no merges make, and ranks fall on the way to others.
+        some = {bytes(rng.choices(b"abc", k=rng.randint(2, 6))) for _ in range(rng.randint(1, 25))}
+        ranks = {token: 256 + k for k, token in enumerate(rng.sample(sorted(some), len(some)))}
+        if rng.random() < 0.5:
+            ranks = {token: 256 + k for k, token in enumerate(sorted(some, key=len))}
+        machine = bpe.Transducer({bytes([b]): b for b in range(256)} | ranks)
+        tokens = [*ranks.values(), *b"abcd"]
+        for last in (-1, *tokens):
+            for token in tokens:
+                assert machine.fits(last, token) == machine.merge(last, token), (ranks, last, token)
+
+
+def test_new_words_neither_merge_anew_nor_end_in_states(encoder, library, monkeypatch):
+    machine = bpe.Transducer(encoder.machine.ids)
+    assert machine.encode(b" the") == library.encode_ordinary(" the") and len(machine.states) <= 4
+    merged = []
+
+    def merge(last, token, merge=machine.merge):
+        merged.append(last >= 0)
+        return merge(last, token)
+
+    monkeypatch.setattr(machine, "merge", merge)
+    rng = random.Random(6)
+    some = [token for token in encoder.machine.ids if token.isalpha() and len(token) < 6]
+    words = ["".join(map(bytes.decode, rng.choices(some, k=3))) for _ in range(2000)]
+    for word in words * 2:
+        assert machine.encode(word.encode()) == library.encode_ordinary(word)
+    assert not any(merged) and len(machine.pairs) > 500
+
+
 def test_the_stream_decoder_is_pythons(encoder):
     rng, raw = random.Random(3), encoder.machine.raw
     whole = bpe.whole_texts(raw)
