@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from itertools import islice
@@ -262,6 +263,7 @@ class Transducer:
         return out
 
 
+LATIN = "".join(map(chr, range(0x250)))  # Long settled: no letters are added here.
 UNKNOWN = "\ue000"  # Of private use: neither letter, number nor blank to either table.
 
 
@@ -298,17 +300,31 @@ class Splitter:
         import regex
 
         self.pattern = regex.compile(PATTERN)
+
+        def own(kind: str) -> str:
+            """The Latin characters of a kind as a class for ``re``, which has no kinds."""
+            return "".join(f"\\u{ord(x):04x}" for x in regex.findall(kind, LATIN))
+
+        letter, number, blank = own(r"\p{L}"), own(r"\p{N}"), own(r"\s")
+        # The same pattern; letters come first, as most matches are words.
+        self.latin = re.compile(
+            f" ?[{letter}]+|'(?:[stmd]|re|ve|ll)| ?[{number}]+| ?[^{blank}{letter}{number}]+"
+            f"|[{blank}]+(?![^{blank}])|[{blank}]+"
+        )
+        self.beyond_latin = re.compile(f"[^{LATIN[0]}-{LATIN[-1]}]").search
         self.newer = newer_letters()
         self.table = str.maketrans(self.newer)
         self.none_newer = frozenset(self.newer).isdisjoint
 
     def matches(self, text: str) -> Iterator[list[str]]:
         """All matches in order, some at a time."""
-        if text.isascii() or self.none_newer(text):
+        latin = text.isascii() or not self.beyond_latin(text)
+        if latin or self.none_newer(text):
+            pattern = self.latin if latin else self.pattern
             if len(text) < BYTES_A_SLICE:
-                yield self.pattern.findall(text)
+                yield pattern.findall(text)
                 return
-            found = (m.group() for m in self.pattern.finditer(text))
+            found = (m.group() for m in pattern.finditer(text))
         else:
             found = (text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.table)))
         while part := list(islice(found, PIECES_A_TIME)):

@@ -99,6 +99,16 @@ def test_new_words_neither_merge_anew_nor_end_in_states(encoder, library, monkey
     assert not any(merged) and len(machine.pairs) > 500
 
 
+def test_latin_texts_split_alike(encoder):
+    splitter, rng = encoder.splitter, random.Random(7)
+    signs = "a b's'S'll've é ß\xa0\x85\x1c\n\r\t  ²½7_-=''\u02af"
+    texts = [f"a{c}1{c}{c}.{c} {c}'{c}s" for c in map(chr, range(0x260))]
+    texts += ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(3000)]
+    for text in texts:
+        assert [m for part in splitter.matches(text) for m in part] == splitter.pattern.findall(text)
+    assert splitter.latin.findall(bpe.LATIN) == splitter.pattern.findall(bpe.LATIN)
+
+
 def test_the_stream_decoder_is_pythons(encoder):
     rng, raw = random.Random(3), encoder.machine.raw
     whole = bpe.whole_texts(raw)
