@@ -235,8 +235,10 @@ class Transducer:
         """The tokens held back if this byte is the last one; no state is made of it."""
         for node, last, held in self.states[number][1:]:
             _, token, _ = self.under.get(node << 8 | byte, NOWHERE)
-            if token is not None and self.fits(last, token):
-                return *held, token
+            if token is not None:
+                known = self.pairs.get((last + 1) << 32 | token)
+                if self.fits(last, token) if known is None else known:
+                    return *held, token
         return None
 
     def encode(self, piece: bytes) -> list[int]:
@@ -336,9 +338,15 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.machine, self.splitter = Transducer(ranks), Splitter()
-        self.table = WordTable(
-            lambda pieces: [self.machine.encode(piece.encode()) for piece in pieces], MOST_MATCHES
-        )
+        self.table = WordTable(self._read, MOST_MATCHES)
+
+    def _read(self, pieces: list[str]) -> list[list[int]]:
+        raw = [piece.encode() for piece in pieces]
+        out: list[list[int]] = [[]] * len(raw)
+        # In order, so that neighbours share their first states.
+        for k in sorted(range(len(raw)), key=raw.__getitem__):
+            out[k] = self.machine.encode(raw[k])
+        return out
 
     def encode(self, docs: list[str]) -> list[np.ndarray]:
         out: list[list[np.ndarray]] = [[] for _ in docs]
