@@ -40,7 +40,7 @@ PIECES_A_TIME = 1 << 18
 NEVER = 1 << 62  # Above all ranks.
 NOWHERE = None, None, False
 #: So many first bytes lead to their state at once when they were read before.
-HEAD = 4
+HEAD = 5
 MOST_STATES, MOST_PAIRS, MOST_MATCHES, MOST_DECODED = 120_000, 400_000, 400_000, 200_000
 
 
@@ -209,12 +209,12 @@ class Transducer:
                     ended = 0, token, (*held, token)
         going.append(ended)
         certain = going[0][2]
-        for guess in going[1:]:
-            while certain and guess[2][: len(certain)] != certain:
-                certain = certain[:-1]
         if certain:
-            sure = len(certain)
-            going = [(node, last, held[sure:]) for node, last, held in going]
+            for guess in going:
+                while guess[2][: len(certain)] != certain:
+                    certain = certain[:-1]
+            if sure := len(certain):
+                going = [(node, last, held[sure:]) for node, last, held in going]
         state = (self.begun[going[0][0]], *going)
         if len(self.states) >= self.most:
             self._forget()
@@ -246,18 +246,21 @@ class Transducer:
         out: list[int] = []
         if not piece:
             return out
-        state, rest = 0, piece[:-1]
-        if len(rest) >= HEAD:
-            head, rest = rest[:HEAD], rest[HEAD:]
-            if head not in self.heads:
+        if len(piece) > HEAD:
+            head, rest = piece[:HEAD], piece[HEAD:-1]
+            found = self.heads.get(head)
+            if found is None:
                 state = self._read(0, head, out)
                 # States may have been forgotten on the way, but this one is there.
                 if len(self.heads) < self.most:
                     self.heads[head] = state, tuple(out)
             else:
-                state, certain = self.heads[head]
+                state, certain = found
                 out += certain
-        state = self._read(state, rest, out)
+        else:
+            state, rest = 0, piece[:-1]
+        if rest:
+            state = self._read(state, rest, out)
         out += self._end(state, piece[-1])
         # A token that no merges make stands only for a whole match.
         if len(out) > 1 and piece in self.ids:
