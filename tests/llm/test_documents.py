@@ -393,6 +393,47 @@ def test_neighbours_recall_and_order(spark):
     assert permutation.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def shuffled(spark) -> dict[str, int]:
+    """Files of the shuffles that are on disk, and their sizes."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    files = [files.apply(k) for k in range(files.size())]
+    return {str(f.getPath()): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def test_neighbours_send_a_vector_once_and_a_query_once_a_task(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(6000, 24)).astype(np.float32)
+    rows = [(k, v.tolist()) for k, v in enumerate(values)]
+    path = permutation.kept_table(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "given")
+    before = shuffled(spark)
+    whole = permutation.nearest(path, F.col("vec_id") % 5 == 0).collect()
+    sent = sum(size for name, size in shuffled(spark).items() if name not in before)
+    assert sent < 12 * values.nbytes
+    assert len(whole) == 1200 * 20
+    # Some thirty slices, several a part: a task goes on from one to the next.
+    monkeypatch.setattr(permutation, "BLOCK", 6)
+    monkeypatch.setattr(permutation, "SLICES", 2)
+    monkeypatch.setattr(permutation, "TASKS", 1)
+    cut = permutation.nearest(path, F.col("vec_id") % 5 == 0, reranked=1.0).collect()
+    found = defaultdict(list)
+    for r in sorted(cut, key=lambda r: (r.query_id, r.rank)):
+        found[r.query_id].append((r.rank, r.vec_id, r.score))
+    wide = values.astype(float)
+    order = np.argsort(-(wide @ pivots_of(spark, path).T), axis=1, kind="stable")
+    for query in range(0, 6000, 500):
+        seen = set(order[query, :32].tolist())
+        visited = np.array([k for k in range(6000) if k != query and seen & set(order[k, :8].tolist())])
+        scores = (wide[visited] * wide[query]).sum(axis=1)
+        best = np.argsort(-scores, kind="stable")[:20]
+        assert [(r, v) for r, v, _ in found[query]] == list(enumerate(visited[best].tolist(), 1))
+        assert [s for _, _, s in found[query]] == scores[best].tolist()
+
+
+def pivots_of(spark, frame):
+    rows = frame.orderBy(F.xxhash64("vec_id"), "vec_id").limit(256).collect()
+    return np.array([r.embedding for r in rows])
+
+
 # --- Pipeline
 
 
